@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolodar.llm import survivors
+from rolodar.llm import leaks, survivors, tokens
 from rolodar.operators import instants, packed
 from rolodar.runtime import table
 
@@ -45,5 +45,34 @@ def p3_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p3_found": p3_found, "p3_bundles": p3_bundles}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p9_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the repeated words, the longest verbatim match and its place."""
+    return _leaks(spark, sf_dir)
+
+
+def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that stay."""
+    return leaks.without_leaks(table(spark, sf_dir, "documents"), "doc_id", _leaks(spark, sf_dir)).select("doc_id", "source")
+
+
+QUERIES = {
+    "p3_found": p3_found,
+    "p3_bundles": p3_bundles,
+    "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p9_matches": p9_matches,
+    "p9_clean": p9_clean,
+}
 SQL: dict[str, str] = {}
