@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolodar.llm import leaks, survivors, tokens
+from rolodar.llm import abuse, leaks, survivors, tokens
 from rolodar.operators import instants, packed
 from rolodar.runtime import table
 
@@ -67,6 +67,22 @@ def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.without_leaks(table(spark, sf_dir, "documents"), "doc_id", _leaks(spark, sf_dir)).select("doc_id", "source")
 
 
+def _abuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = table(spark, sf_dir, "documents")
+    model = abuse.fit_labels(corpus, "doc_id", "text", table(spark, sf_dir, "review_labels"), "doc_id", "abusive")
+    return abuse.score(corpus, "doc_id", "text", model)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _abuse(spark, sf_dir).where("abuse >= 0.5").select("doc_id").distinct()
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate of abusive documents per feed."""
+    scored = table(spark, sf_dir, "documents").select("doc_id", "source").join(_abuse(spark, sf_dir), "doc_id")
+    return abuse.rates(scored, "source")
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_bundles": p3_bundles,
@@ -74,5 +90,7 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_matches": p9_matches,
     "p9_clean": p9_clean,
+    "p10_found": p10_found,
+    "p10_rates": p10_rates,
 }
 SQL: dict[str, str] = {}
