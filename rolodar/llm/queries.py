@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolodar.llm import abuse, leaks, survivors, tokens
+from rolodar.llm import abuse, addresses, leaks, survivors, tokens
 from rolodar.operators import instants, packed
 from rolodar.runtime import table
 
@@ -45,6 +45,15 @@ def p3_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p4_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every address with its location."""
+    return addresses.locate(table(spark, sf_dir, "contact_addresses"), "address_id")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.pairs(p4_places(spark, sf_dir), "address_id", "location")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -86,6 +95,8 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_bundles": p3_bundles,
+    "p4_found": p4_found,
+    "p4_places": p4_places,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_matches": p9_matches,
