@@ -30,7 +30,7 @@ STATES = {
     "virginia": "va", "washington": "wa", "west virginia": "wv", "wisconsin": "wi", "wyoming": "wy",
 }
 _CODES = set(STATES.values())
-_CITY_WORDS = {"mount": "mt", "saint": "st", "fort": "ft", "sainte": "ste", "mont": "mt"}
+_CITY_WORDS = {"mt": "mount", "st": "saint", "ft": "fort", "ste": "sainte", "n": "north", "s": "south", "e": "east", "w": "west"}
 _ZIP_END = re.compile(r"[\s,]*\b(\d{5})(?:\s*-\s*\d{4})?\s*$")
 _UNIT = re.compile(r"(?:\b(?:apartment|apt|unit|suite|ste|flat|room|rm|number|no|nr)\b\.?\s*#?\s*|#\s*)(\d+\s?[a-z]?|[a-z]\d*)\b(?!\s*box)")
 _BOX = re.compile(r"\b(?:p\.?\s*o\.?\s*b(?:ox)?|post\s*office\s*box|box)\.?\s*#?\s*(\d+)\b")
@@ -64,9 +64,8 @@ def state_code(text: str) -> str:
 
 def city_key(text: str) -> str:
     ws = re.findall(r"[a-z0-9]+", plain(text))
-    ws = [_CITY_WORDS.get(w, w) for w in ws]
-    if len(ws) > 1 and ws[0] in DIRECTIONS:
-        ws[0] = DIRECTIONS[ws[0]]
+    if len(ws) > 1:
+        ws[0] = _CITY_WORDS.get(ws[0], ws[0])
     return " ".join(ws)
 
 
