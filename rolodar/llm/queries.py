@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolodar.llm import abuse, addresses, leaks, survivors, tokens
+from rolodar.llm import abuse, addresses, leaks, people, survivors, tokens
 from rolodar.operators import instants, packed
 from rolodar.runtime import table
 
@@ -54,6 +54,15 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.pairs(p4_places(spark, sf_dir), "address_id", "location")
 
 
+def p5_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries that name the same person as another one of their book."""
+    return people.people(table(spark, sf_dir, "book_entries"), "entry_id", "book_id", "full_name_raw", "first_name", "nickname")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.pairs(p5_people(spark, sf_dir), "entry_id", "person")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -97,6 +106,8 @@ QUERIES = {
     "p3_bundles": p3_bundles,
     "p4_found": p4_found,
     "p4_places": p4_places,
+    "p5_found": p5_found,
+    "p5_people": p5_people,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_matches": p9_matches,
