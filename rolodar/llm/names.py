@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from typing import NamedTuple
 
 from rolodar.llm.plaintext import plain
@@ -147,5 +148,25 @@ def roots(word: str) -> frozenset[str]:
     return ROOTS.get(word, frozenset((word,)))
 
 
+def _drops(word: str) -> set[str]:
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
+_NEAR: dict[str, set[str]] = {}
+for _name in ROOTS:
+    if len(_name) >= 4:
+        for _d in _drops(_name):
+            _NEAR.setdefault(_d, set()).add(_name)
+
+
+@lru_cache(maxsize=50_000)
+def slip_roots(word: str) -> frozenset[str]:
+    """Roots of a given name, also of one typed with a slip; the word itself if it is near no known name."""
+    if word in ROOTS or len(word) < 4:
+        return roots(word)
+    near = {n for d in _drops(word) for n in _NEAR.get(d, ()) if one_slip(word, n)}
+    return frozenset().union(*(ROOTS[n] for n in near)) if near else frozenset((word,))
+
+
 def nickname_equal(a: str, b: str) -> bool:
     return bool(roots(a) & roots(b))

@@ -35,7 +35,7 @@ def codes(p: names.Person) -> list[str]:
     """Phonetic codes of all words; given names under every root they may stand for."""
     out = set()
     for w in {*p.words, *p.firsts}:
-        out |= {names.phonetic(r) for r in names.roots(w)}
+        out |= {names.phonetic(r) for r in names.slip_roots(w) | {w}}
     if len(p.words) == 1 and not p.firsts:
         # Typed without its blank: any given name it may begin or end with.
         w = p.words[0]
@@ -74,8 +74,12 @@ def compare(a: dict, b: dict, threshold: float) -> str:
     def same(x: str, y: str) -> bool:
         return _same(x, y, ca.get(x, 1), cb.get(y, 1), threshold)
 
+    def given_roots(w: str, n: int) -> frozenset[str]:
+        # A spelling that is common in the corpus is no slip.
+        return names.roots(w) if n >= 30 else names.slip_roots(w)
+
     def given(x: str, y: str) -> bool:
-        return names.nickname_equal(x, y) or same(x, y)
+        return same(x, y) or bool(given_roots(x, ca.get(x, 1)) & given_roots(y, cb.get(y, 1)))
 
     weak = ""
     aw, bw = a["words"], b["words"]
