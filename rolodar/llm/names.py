@@ -51,6 +51,9 @@ def parse(full: str | None, first: str | None = None, nickname: str | None = Non
     raw = full or ""
     nicks = [a or b for a, b in _NICK.findall(raw)]
     body = plain(_NICK.sub(" ", raw))
+    reversed_ = re.match(r"\s*([^,;]+?)\s*[,;]\s*([^,;]+?)\s*(?:[,;](.*))?$", body)
+    if reversed_ and reversed_.group(2).strip(" .") not in _SUFFIX and reversed_.group(2).strip(" .") not in _CREDENTIALS:
+        body = f"{reversed_.group(2)} {reversed_.group(1)} {reversed_.group(3) or ''}"
     words: list[str] = []
     initials: list[str] = []
     suffix = ""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolodar.llm import abuse, addresses, leaks, people, survivors, tokens
+from rolodar.llm import abuse, addresses, crossmatch, leaks, people, survivors, tokens
 from rolodar.operators import instants, packed
 from rolodar.runtime import table
 
@@ -63,6 +63,15 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.pairs(p5_people(spark, sf_dir), "entry_id", "person")
 
 
+def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matching rows with score, mutual-nearest test and confidence."""
+    return crossmatch.match(table(spark, sf_dir, "network_contacts"), table(spark, sf_dir, "card_contacts"), "net_id", "card_id")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_matches(spark, sf_dir).select("net_id", "card_id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -108,6 +117,8 @@ QUERIES = {
     "p4_places": p4_places,
     "p5_found": p5_found,
     "p5_people": p5_people,
+    "p6_found": p6_found,
+    "p6_matches": p6_matches,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_matches": p9_matches,
