@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolodar.llm import abuse, addresses, crossmatch, leaks, people, survivors, tokens
+from rolodar.llm import abuse, addresses, crossmatch, leaks, people, personal, survivors, tokens
 from rolodar.operators import instants, packed
 from rolodar.runtime import table
 
@@ -72,6 +72,20 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("net_id", "card_id")
 
 
+def _personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = table(spark, sf_dir, "contact_records")
+    return personal.extract(records, "rec_id", "notes", records, ["first_name", "nickname"], "last_name")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _personal(spark, sf_dir).select("rec_id", "kind", "start_at").distinct()
+
+
+def p7_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notes with typed placeholders."""
+    return personal.redact(table(spark, sf_dir, "contact_records"), "rec_id", "notes", _personal(spark, sf_dir))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -119,6 +133,8 @@ QUERIES = {
     "p5_people": p5_people,
     "p6_found": p6_found,
     "p6_matches": p6_matches,
+    "p7_found": p7_found,
+    "p7_redacted": p7_redacted,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_matches": p9_matches,
