@@ -92,9 +92,11 @@ def locate(df: DataFrame, key: str) -> DataFrame:
     rows = rows.where(((F.col("number") != "") & (F.col("line") != "")) | (F.col("box") != ""))
     same = F.sha2(F.concat_ws("", *_FIELDS), 256)
     classes = rows.groupBy(*_FIELDS).agg(F.count("*").alias("n")).withColumn("class", same)
-    classes = _apply(classes, established(classes.groupBy("city").agg(F.sum("n").alias("n")), "city"), "city")
-    classes = _apply(classes, established(classes.groupBy("line").agg(F.sum("n").alias("n")), "line"), "line")
+    # Cut wherever a frame is used more than once: plans stay small, and nothing is computed twice.
     classes = cut(classes)
+    for part in ("city", "line"):
+        spellings = cut(classes.groupBy(part).agg(F.sum("n").alias("n")))
+        classes = cut(_apply(classes, established(spellings, part), part))
 
     # City and state of every postal code, and state of every city, by majority.
     def majority(by: str, of: str) -> DataFrame:
@@ -107,13 +109,14 @@ def locate(df: DataFrame, key: str) -> DataFrame:
     state = F.when(F.col("state") != "", F.col("state")).otherwise(F.coalesce("city_state", "zip_state", F.lit("")))
     block = ["locality", "number", "direction", "unit", "box"]
     full = full.withColumn("locality", F.concat_ws("|", "city", state)).select("class", *block, "line", "kind", "n")
+    full = cut(full)
 
     # Slips of street names inside a block; how common a name is in the corpus guards streets with similar names.
     corpus = full.groupBy("line").agg(F.sum("n").alias("n_corpus"))
-    in_block = full.groupBy(*block, "line").agg(F.sum("n").alias("n"))
+    in_block = cut(full.groupBy(*block, "line").agg(F.sum("n").alias("n")))
     crowded = in_block.groupBy(*block).agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    fixes = established(in_block.join(crowded, block).join(corpus, "line"), "line", block, guard="n_corpus")
-    full = _apply(full, fixes, "line", block)
+    fixes = established(cut(in_block.join(crowded, block).join(corpus, "line")), "line", block, guard="n_corpus")
+    full = cut(_apply(full, fixes, "line", block))
 
     # A missing type is the block's only one.
     kinds = full.where("kind <> ''").groupBy(*block, "line").agg(F.min("kind").alias("k1"), F.max("kind").alias("k2"))
