@@ -71,7 +71,7 @@ def mask_quotes(text: Column) -> Column:
     return F.when(F.contains(text, F.lit('"')), F.array_join(hidden, '"')).otherwise(text)
 
 
-_OUTER = r"^[\s  ]+|[\s  ]+$"
+_OUTER = r"^[\s\u00A0\u2000-\u200B\u202F\u3000]+|[\s\u00A0\u2000-\u200B\u202F\u3000]+$"
 
 
 def _has(p: Column, text: str) -> Column:
