@@ -145,7 +145,7 @@ def _score(name: str, kinds: dict[str, FieldType]):
 def delimiter_profile(df: DataFrame, source: str, kinds: dict[str, FieldType]) -> DataFrame:
     """source, field, delimiter, n_values, consistency, regularity, score - of every candidate seen there."""
     base = _stacked(df, F.lit(None).cast("long"), source, list(kinds)).withColumn(
-        "anchors", F.size(_by_field(kinds, lambda k: F.regexp_extract_all(F.col("m"), F.lit(k.anchor), F.lit(0))))
+        "anchors", F.size(_by_field(kinds, lambda k: F.regexp_extract_all(F.translate(F.col("m"), _HIDDEN, _HIDE), F.lit(k.anchor), F.lit(0))))
     )
     tests = []
     for name, split_by, present in CANDIDATES:
