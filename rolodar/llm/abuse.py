@@ -43,7 +43,9 @@ LEXICON = {
     "harm": "kill murder strangle rape choke verreck krepier creve crever mueras muerete hang",
 }
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "+": "t", "$": "s", "@": "a", "!": "i"})
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-]){2,}[^\W\d_]+(?![^\W_])")
+_SPACED = re.compile(
+    r"(?<![^\W_])[^\W\d_]([.\-])(?:[^\W\d_]\1)+[^\W\d_]+(?![^\W_])|(?<![^\W_])[^\W\d_](?: [^\W\d_]){2,}(?![^\W_])"
+)
 _TOKEN = re.compile(r"[^\W_]+(?:[+$@!*]+[^\W_]+)*[+$@](?![^\W_])|[^\W_]+(?:[+$@!*]+[^\W_]+)*")
 _PASSAGE = re.compile(r"(?:(?! [-–—|/] )[^.!?\n\r…])+")
 _RUN = re.compile(r"(.)\1+")
