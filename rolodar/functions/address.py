@@ -38,7 +38,7 @@ def normalize_address(a: Column) -> Column:
 
 
 def normalize_addresses(items: Column) -> Column:
-    key = lambda a: F.concat_ws("", *[a[f] for f in FIELDS[:-1]])
+    key = lambda a: F.concat_ws("\u001f", *[a[f] for f in FIELDS[:-1]])
     build = lambda a, b: F.struct(*[a[f].alias(f) for f in FIELDS[:-1]], b.alias("label"))
     return dedupe(F.transform(items, normalize_address), key, build)
 

@@ -36,5 +36,7 @@ def connected_components(links: DataFrame, left: str, right: str, max_rounds: in
         if before is not None and tuple(now) == before:
             break
         before = tuple(now)
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.union(edges.select(F.col("b"), F.col("b")).distinct()).toDF("node", "component")
