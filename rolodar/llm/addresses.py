@@ -90,7 +90,7 @@ def locate(df: DataFrame, key: str) -> DataFrame:
     """key, location: rows of one location share the value."""
     rows = cut(parse_parts(df, key))
     rows = rows.where(((F.col("number") != "") & (F.col("line") != "")) | (F.col("box") != ""))
-    same = F.sha2(F.concat_ws("", *_FIELDS), 256)
+    same = F.sha2(F.concat_ws("\u001f", *_FIELDS), 256)
     classes = rows.groupBy(*_FIELDS).agg(F.count("*").alias("n")).withColumn("class", same)
     # Cut wherever a frame is used more than once: plans stay small, and nothing is computed twice.
     classes = cut(classes)
@@ -122,7 +122,7 @@ def locate(df: DataFrame, key: str) -> DataFrame:
     kinds = full.where("kind <> ''").groupBy(*block, "line").agg(F.min("kind").alias("k1"), F.max("kind").alias("k2"))
     full = full.join(kinds, [*block, "line"], "left")
     kind = F.when((F.col("kind") == "") & (F.col("k1") == F.col("k2")), F.col("k1")).otherwise(F.col("kind"))
-    located = full.select("class", F.sha2(F.concat_ws("", *block, "line", kind), 256).alias("location"))
+    located = full.select("class", F.sha2(F.concat_ws("\u001f", *block, "line", kind), 256).alias("location"))
     return rows.select(key, same.alias("class")).join(located, "class").select(key, "location")
 
 
