@@ -3,8 +3,7 @@
 Records can only match inside a block (family name, else full name, first mailbox, first number). Inside it a pair can
 only pass the gate if it shares a name, a nickname root, a mailbox or a profile - or, where a side has no name, any
 corroborating value. These values are the join keys, so a frequent family name is never paired with itself in full.
-Equal records inside a hot key (say a name that a tenth of a block shares) are chained to the key's first record with
-equal evidence instead of being paired: they fold into one representative before the join.
+``clusters`` folds records with equal evidence into their first one before pairing, so copies cost no pairs.
 
 The similarity UDF only sees pairs whose outcome depends on it."""
 
@@ -107,7 +106,19 @@ def match_edges(keyed: DataFrame, dedupe: Dedupe = Dedupe()) -> DataFrame:
 
 
 def clusters(keyed: DataFrame, dedupe: Dedupe = Dedupe()) -> DataFrame:
-    """rec_idx, cluster_id (smallest index of the cluster) of every record."""
-    edges = cut(match_edges(keyed, dedupe))
-    found = connected_components(edges, "a", "b").withColumnRenamed("node", "rec_idx")
+    """rec_idx, cluster_id (smallest index of the cluster) of every record.
+
+    Records with equal evidence fold into one before they are paired: a copy has the links of its first record, so it
+    belongs to that record's cluster if the gate lets the two meet, or if the first one links to anything at all."""
+    same = F.sha2(F.to_json(F.struct("block_key", *[c for c in EVIDENCE if c not in ("rec_idx", "block_key")])), 256)
+    rows = cut(keyed.select(*EVIDENCE, same.alias("same")))
+    firsts = rows.groupBy("same").agg(F.min("rec_idx").alias("rep"), F.count("*").alias("n"))
+    reps = cut(rows.join(firsts, (rows["same"] == firsts["same"]) & (F.col("rec_idx") == F.col("rep"))).drop(firsts["same"]))
+    edges = cut(match_edges(reps, dedupe))
+    twin = F.struct(*EVIDENCE)
+    twins = pair_signals(reps.where("n > 1").select(twin.alias("left"), twin.alias("right")), dedupe)
+    meets = twins.where(gate(twins, dedupe)).select(F.col("left.rec_idx").alias("rep"))
+    linked = edges.select(F.col("a").alias("rep")).union(edges.select("b")).union(meets).distinct()
+    copies = rows.select("same", "rec_idx").join(firsts.where("n > 1").join(linked, "rep"), "same").where("rec_idx <> rep")
+    found = connected_components(edges.union(copies.select("rep", "rec_idx")), "a", "b").withColumnRenamed("node", "rec_idx")
     return keyed.select("rec_idx").join(found, "rec_idx", "left").select("rec_idx", F.coalesce("component", "rec_idx").alias("cluster_id"))

@@ -35,6 +35,17 @@ def test_blocking_loses_no_link(spark):
         every = resolve.pair_signals(left.join(right, "block_key").where("left.rec_idx < right.rec_idx").drop("block_key"), d)
         want = {(r["a"], r["b"]) for r in every.where(resolve.gate(every, d)).select(F.col("left.rec_idx").alias("a"), F.col("right.rec_idx").alias("b")).collect()}
         assert got == want and want
+        parent = {r["rec_idx"]: r["rec_idx"] for r in keyed.select("rec_idx").collect()}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in want:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+        assert {r["rec_idx"]: r["cluster_id"] for r in resolve.clusters(keyed, d).collect()} == {x: find(x) for x in parent}
 
 
 def test_text_forms():
