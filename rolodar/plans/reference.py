@@ -257,9 +257,9 @@ SQL: dict[str, str] = {
     "entity_clusters": f"WITH RECURSIVE {_CLUSTERS} SELECT rec_idx, cluster_id FROM cl",
     "survivorship": f"WITH RECURSIVE {_CLUSTERS} SELECT cluster_id, {', '.join(_BEST.format(c=c).replace('{r}', _RANK) for c in ('company', 'title', 'linkedin_url'))}, CAST(count(*) AS INTEGER) AS source_row_count, CAST(count(DISTINCT source) AS INTEGER) AS source_count FROM n JOIN cl ON n.rec_idx = cl.rec_idx GROUP BY cluster_id",
     "validation_report": f"WITH {_R} SELECT contact_id, ev AS email_valid_count, et AS email_total, pv AS phone_valid_count, pt AS phone_total, av AS addr_valid_count, quality AS quality_score FROM q",
-    "coverage_metrics": f"WITH {_R} SELECT count(*) AS total_contacts, round(100.0 * sum(et) / count(*), 2) AS has_any_email_pct, round(100.0 * sum(pt) / count(*), 2) AS has_any_phone_pct, round(100.0, 2) AS has_any_address_pct FROM q",
+    "coverage_metrics": f"WITH {_R} SELECT count(*) AS total_contacts, CAST(round(100.0 * sum(et) / count(*), 2) AS DOUBLE) AS has_any_email_pct, CAST(round(100.0 * sum(pt) / count(*), 2) AS DOUBLE) AS has_any_phone_pct, CAST(100.0 AS DOUBLE) AS has_any_address_pct FROM q",
     "confidence_report": f"WITH {_CONF} SELECT contact_id, score AS confidence_score, bucket AS confidence_bucket FROM b",
-    "confidence_summary": f"WITH {_CONF} SELECT v.bucket, coalesce(x.n, 0) AS \"count\", round(100.0 * coalesce(x.n, 0) / (SELECT count(*) FROM b), 2) AS pct FROM (VALUES ('very_high'), ('high'), ('medium'), ('low')) AS v(bucket) LEFT JOIN (SELECT bucket, count(*) AS n FROM b GROUP BY bucket) x ON x.bucket = v.bucket",
+    "confidence_summary": f"WITH {_CONF} SELECT v.bucket, coalesce(x.n, 0) AS \"count\", CAST(round(100.0 * coalesce(x.n, 0) / (SELECT count(*) FROM b), 2) AS DOUBLE) AS pct FROM (VALUES ('very_high'), ('high'), ('medium'), ('low')) AS v(bucket) LEFT JOIN (SELECT bucket, count(*) AS n FROM b GROUP BY bucket) x ON x.bucket = v.bucket",
     "top_confidence": f"WITH {_CONF} SELECT contact_id, score AS confidence_score, CAST(1 + k % 3 AS INTEGER) AS source_count FROM b WHERE bucket IN ('very_high', 'high') ORDER BY score DESC, source_count DESC, contact_id LIMIT 25",
     "notes_blob": f"WITH {_W} SELECT concat_ws(' ', first_name, last_name) AS contact_id, string_agg(note, ' | ' ORDER BY source, CAST(k AS VARCHAR)) AS notes_blob FROM w WHERE note <> '' GROUP BY 1",
     "tags_category": f"WITH {_TAGS} SELECT contact_id, tags, cat AS relationship_category, prio AS referral_priority_score FROM tg",
