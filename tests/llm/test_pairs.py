@@ -38,6 +38,21 @@ def test_bundles_keep_dependencies(spark):
     assert got == {("g", "name"): 3, ("g", "url"): 3, ("h", "name"): 5, ("h", "url"): 4}
 
 
+def test_bundles_keep_untimed_rows_of_broken_groups(spark):
+    rows = [
+        (1, "g", "gmail", 10_000_000, "name A", "url A", ""),
+        (2, "g", "gmail", 20_000_000, "name B", "", ""),
+        (3, "g", "gmail", None, "", "", "job"),  # the only job stands on a row without an instant
+        (4, "h", "gmail", -10_000_000, "name A", "url A", ""),  # before 1970
+        (5, "h", "gmail", -5_000_000, "name B", "", "job"),
+    ]
+    df = spark.createDataFrame(rows, "rec_id long, contact_id string, source string, at long, name string, url string, job string")
+    bundles = [survivors.Bundle(n, (n,), F.col(n) != "") for n in ("name", "url", "job")]
+    out = survivors.choose_bundles(df, "contact_id", "rec_id", "source", "at", bundles, [("url", "name")]).collect()
+    got = {(r["contact_id"], r["bundle"]): r["rec_id"] for r in out}
+    assert got == {("g", "name"): 1, ("g", "url"): 1, ("g", "job"): 3, ("h", "name"): 4, ("h", "url"): 4, ("h", "job"): 5}
+
+
 P = ["street", "city", "state", "postal_code", "po_box", "extended_address"]
 
 
