@@ -4,8 +4,9 @@ Every stretch of a partition (a shard) is turned into word numbers of the evalua
 breaks, and runs shorter than a seed are dropped. A suffix array over what is left is built by prefix doubling, and
 all suffixes of all test items are binary-searched in it at once. The intervals found are the locations of all
 verbatim matches of at least ``seed`` words; neighbours on one diagonal join to the longest matches. Pairs of a
-document and an item that are covered far enough go to an exact local alignment, which decides whether the document
-repeats at least ``min_words`` successive words of the item with few enough of them changed, dropped or added.
+document and an item that are covered far enough for any passage within the rule go to an exact local alignment and,
+if its whole stretch is edited too much, to an exact search of all passages; they decide whether the document repeats
+at least ``min_words`` successive words of the item with few enough of them changed, dropped or added.
 
 A document lies in one row, so nothing is shuffled; the test items are broadcast, and ``leaks`` refuses more of them
 than ``max_items``. Work grows with the corpus, memory with the stretch.
@@ -143,19 +144,64 @@ def align(doc: np.ndarray, item: np.ndarray, penalty: float) -> tuple[int, int,
     return int(i), last_i, same, int(j), last_j
 
 
+def repeated(doc: np.ndarray, item: np.ndarray, groups: np.ndarray, min_words: int, max_edits: float) -> tuple[int, int, int, int] | None:
+    """First and last item word (exclusive), edits and last document word of the best passage that the document repeats,
+    or null. A passage begins and ends with an agreeing word; those from all first words are searched at once, on the
+    diagonals of ``doc`` (its word i + c stands on diagonal c for item word i)."""
+    n = len(item)
+    width = len(doc) - n + 1
+    hits = np.lib.stride_tricks.sliding_window_view(doc, width) == item[:, None]
+    begin = np.flatnonzero((groups[-1] - groups + 1 >= min_words) & hits.any(axis=1))
+    step = np.arange(width)
+    dist = np.zeros((len(begin), width))  # edits of item[begin:begin + size] against the best stretch up to a document word
+    best, size = None, 0
+    while len(begin):
+        size += 1
+        hit = hits[begin + size - 1]
+        agreed = np.where(hit, dist, np.inf)
+        row = agreed
+        if size > 1:
+            row = dist + ~hit
+            row[:, :-1] = np.minimum(row[:, :-1], dist[:, 1:] + 1)
+        dist = np.minimum.accumulate(row - step, axis=1) + step
+        least = agreed.min(axis=1)
+        fits = np.flatnonzero((groups[begin + size - 1] - groups[begin] + 1 >= min_words) & (least <= max_edits * size + 1e-9))
+        if len(fits):
+            k = int(fits[least[fits].argmin()])
+            found = (size - int(least[k]), int(begin[k]), int(begin[k]) + size, int(least[k]), int(begin[k]) + size + int(agreed[k].argmin()))
+            best = max(best, found) if best else found
+        # Beyond the edits of the longest passage from here, no passage comes.
+        kept = (begin + size < n) & (dist.min(axis=1) <= max_edits * (n - begin) + 1e-9)
+        begin, dist = begin[kept], dist[kept]
+    return best[1:] if best else None
+
+
 @dataclass(frozen=True)
 class Rule:
     """When a document repeats an item: so many successive words, at most this share of them edited."""
 
     min_words: int = 18
     max_edits: float = 0.17
-    seed: int = 4
-    min_cover: int = 10
     penalty: float = 2.0
 
+    def _stretches(self) -> list[tuple[int, int]]:
+        sizes = range(self.min_words, 8 * self.min_words)
+        return [(n, int(self.max_edits * n + 1e-9)) for n in sizes]
+
+    @property
+    def seed(self) -> int:
+        """Words in a row that every such passage holds unedited: k edits leave k + 1 runs."""
+        return max(1, min(-(-(n - k) // (k + 1)) for n, k in self._stretches()))
+
+    @property
+    def min_cover(self) -> int:
+        """Words that every such passage holds in runs of a seed: all runs but one may fall just short of it."""
+        return max(self.seed, min(n - k - k * (self.seed - 1) for n, k in self._stretches()))
+
 
 def shard_leaks(keys: list, texts: list[str | None], items: Items, rule: Rule) -> list[tuple]:
     """(key, item id, words, agreeing words, longest verbatim match, document word) of every leak in a shard."""
+    seed, min_cover = rule.seed, rule.min_cover
     doc_tokens: list[np.ndarray] = []
     get = items.vocabulary.get
     for text in texts:
@@ -168,8 +214,8 @@ def shard_leaks(keys: list, texts: list[str | None], items: Items, rule: Rule) -
     # Runs that cannot hold a seed are breaks too.
     ends = run_ends(flat)
     begins = np.maximum.accumulate(np.where(flat == 0, np.arange(len(flat)), -1)) + 1
-    kept = np.where(ends - begins >= rule.seed, flat, 0)
-    spot, at = matches(kept, items, rule.seed)
+    kept = np.where(ends - begins >= seed, flat, 0)
+    spot, at = matches(kept, items, seed)
     if not len(spot):
         return []
     doc = np.searchsorted(starts, spot, side="right") - 1
@@ -180,30 +226,44 @@ def shard_leaks(keys: list, texts: list[str | None], items: Items, rule: Rule) -
     out = []
     cuts = np.flatnonzero(np.diff(pair)) + 1
     for p_spot, p_at in zip(np.split(spot, cuts), np.split(at, cuts), strict=True):
-        covered = np.unique((p_at[:, None] + np.arange(rule.seed)).ravel())
-        if len(covered) < rule.min_cover:
+        covered = np.unique((p_at[:, None] + np.arange(seed)).ravel())
+        if len(covered) < min_cover:
             continue
         d = int(np.searchsorted(starts, p_spot[0], side="right") - 1)
         k = int(items.item_of[p_at[0]])
         a, b = int(items.starts[k]), int(items.starts[k + 1]) - 1
         best = None
-        # Seeds further apart than the item is long belong to different passages.
-        by_spot = np.sort(p_spot)
-        breaks = np.flatnonzero(np.diff(by_spot) > 2 * (b - a)) + 1
-        for group in np.split(by_spot, breaks):
-            low = max(int(starts[d]), int(group[0]) - 40)
-            high = min(int(starts[d + 1]) - 1, int(group[-1]) + 40 + rule.seed)
-            i0, i1, same, j0, j1 = align(flat[low:high], items.tokens[a:b], rule.penalty)
-            if i1 <= i0:
+        # The seeds of a passage lie on diagonals no further apart than it has edits.
+        slack = int(rule.max_edits * (b - a))
+        diagonal = p_spot - p_at
+        by_diagonal = np.argsort(diagonal, kind="stable")
+        breaks = np.flatnonzero(np.diff(diagonal[by_diagonal]) > slack) + 1
+        for group in np.split(by_diagonal, breaks):
+            if len(np.unique((p_at[group][:, None] + np.arange(seed)).ravel())) < min_cover:
                 continue
+            low = max(int(starts[d]), int(diagonal[group[0]]) + a - slack)
+            high = min(int(starts[d + 1]) - 1, int(diagonal[group[-1]]) + b + slack)
+            i0, i1, same, j0, j1 = align(flat[low:high], items.tokens[a:b], rule.penalty)
             covered_words = len(set(items.groups[a + i0 : a + i1].tolist()))
             edits = max(i1 - i0, j1 - j0) - same
+            if i1 <= i0 or covered_words < rule.min_words or edits > rule.max_edits * (i1 - i0):
+                # The best alignment may run on through an edited stretch; a part of it may do alone.
+                first = int(diagonal[group[0]]) + a - slack
+                band = np.full(int(diagonal[group[-1]]) + b + slack - first, -1, dtype=np.int64)
+                band[low - first : high - first] = flat[low:high]
+                part = repeated(band, items.tokens[a:b], items.groups[a:b], rule.min_words, rule.max_edits)
+                if part is None:
+                    continue
+                i0, i1, edits, j1 = part
+                same, j1 = i1 - i0 - edits, j1 - (low - first)
+                j0 = max(0, j1 - (i1 - i0))
+                covered_words = len(set(items.groups[a + i0 : a + i1].tolist()))
             if covered_words >= rule.min_words and edits <= rule.max_edits * (i1 - i0) and (best is None or same > best[1]):
                 best = (covered_words, same, low + j0 - int(starts[d]))
         if best:
             joined = (np.diff(p_spot) == 1) & (np.diff(p_at) == 1)
             runs = np.diff(np.flatnonzero(np.concatenate(([True], ~joined, [True]))))
-            out.append((keys[d], items.ids[k], best[0], best[1], int(runs.max()) + rule.seed - 1, best[2]))
+            out.append((keys[d], items.ids[k], best[0], best[1], int(runs.max()) + seed - 1, best[2]))
     return out
 
 

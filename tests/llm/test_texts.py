@@ -102,6 +102,25 @@ def test_leaks(spark):
     assert leaks.leaks(df.limit(0), "doc_id", "text", tests, "item_id", "text").count() == 0
 
 
+def test_leaks_beside_edited_stretches(spark):
+    item = [f"v{i}" for i in range(95)]
+
+    def new(n):
+        return [f"new{i}" for i in range(n)]
+
+    every = [w if i % 4 else "changed" for i, w in enumerate(item[20:80])]
+    docs = [
+        item[:20] + every, item[:24] + new(11) + item[35:59], item[:30] + new(14) + item[44:74],
+        [w if i not in (3, 7, 11) else "changed" for i, w in enumerate(item[:18])], item[:17] + new(5), [w if i % 3 else "changed" for i, w in enumerate(item)],
+    ]
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    tests = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    found = leaks.leaks(df, "doc_id", "text", tests, "item_id", "text").collect()
+    assert {r["doc_id"] for r in found} == {0, 1, 2, 3}
+    rule = leaks.Rule()
+    assert (rule.seed, rule.min_cover) == (4, 6)
+
+
 def test_suffix_array_against_sorting():
     rng = np.random.default_rng(4)
     t = rng.integers(0, 4, 300)
