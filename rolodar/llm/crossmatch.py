@@ -4,7 +4,7 @@ Attributes become terms in one spelling (given name by its root, family name and
 spelling, mailboxes, numbers by their digits). The index holds the card side's terms with BM25 weights (a term's
 frequency and the record's length against the corpus). A pair can only pass the evidence check if it shares a name
 and one more attribute, so the index is looked up by its essential keys only: own mailboxes, own numbers, and the conjunction of initial, family name and
-employer. Every pair that shares none has too low a score, whatever else it shares, and is pruned exactly. Hot terms -
+employer. Pairs that share none are not looked up; BM25 only annotates the rows, no score decides. Hot terms -
 a family name that a tenth of all rows have, a huge employer, a switchboard - are never expanded on their own.
 
 Every looked-up pair gets its whole BM25 score over all attributes, its distance to the best partner of either side
