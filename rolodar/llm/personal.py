@@ -1,31 +1,38 @@
 """Personal information inside free text: bootstrapped contextual extraction.
 
-1. One pass finds candidates by their shapes - mailboxes, numbers, identity numbers, addresses, names - each with the
-   words on either side. Known given names come from the structured columns (at most ``max_givens`` of them, the most
-   frequent first, as a bounded lexicon; other names are found by their capitals).
-2. Seeds are candidates that their shape proves, and names whose family name stands in a structured column (a join).
-3. Patterns - the one or two words before, the word after - are scored by the seeds they lead to; candidates gain from
-   their patterns and count as instances in the next round. After a few rounds, what reaches ``threshold`` is personal
-   information, among it identifiers that no shape or list would have proven ("Ask for Xyz Abc").
-
-Pattern statistics are aggregated with map-side combining over all texts; frequent patterns come back by a join that
-is a broadcast join only while Spark finds the table small.
+1. One pass finds candidates - what may be a mailbox, number, identity number, address or name - each with its layout
+   (the way it is written) and the words on either side. A candidate is no finding yet.
+2. Seeds are the few candidates that are proven without any context: mailboxes written plainly, numbers with country
+   code or brackets, two strict identity-number layouts, streets with the whole word for their type, boxes in full, and
+   names whose given and family name both stand in structured columns.
+3. Seeds induce patterns: the one or two words before, the words after, and layouts. In every round Spark scores the
+   graph of patterns and instances - the share of believed ones among the instances of a pattern that are known, where
+   the seeds of another kind and names that the structured columns do not know speak against it - and believes the
+   instances of high-scoring patterns, which score further patterns in the next round. Contexts so prove layouts,
+   layouts prove contexts, and both find identifiers that no seed or list holds ("Ask for Xyz Abc").
+
+Instances with equal evidence fold into classes before the rounds, so these cost by different evidence, not by rows.
+Given names come as a Bloom filter of fixed size, which only says where a name in small letters may begin; what is
+known is decided by joins with whole vocabularies. Nothing is capped.
 
 Defined results: null and empty texts have no items; positions count characters from 1; overlapping readings of one
-name keep the better one; repeated rows give their own items; empty tables give no rows.
+name keep the better one; repeated rows give their own items; empty tables give no rows; with few texts there are few
+seeds, and the rounds find less beside them.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolodar.llm import names
-from rolodar.llm.places import TYPE_OF
+from rolodar.llm.places import TYPE_OF, TYPES
 from rolodar.llm.plaintext import plain
 from rolodar.runtime import cut
 
@@ -33,45 +40,46 @@ _I = re.IGNORECASE
 _DOT = r"(?: dot | ?\(dot\) ?| ?\[dot\] ?|\.)"
 _DOM = r"[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}"
 EMAIL = [
-    (re.compile(r"(?<![\w.+-])[\w.+%-]*\w\s?(?:@|\(at\)|\[at\])\s?" + _DOM), 0.95),
-    (re.compile(r"(?<![\w.+-])[\w.+%-]*\w\s(?:@|\(at\)|\[at\])\s" + _DOM, _I), 0.9),
-    (re.compile(r"(?<![\w.+-])[\w+%-]+(?:" + _DOT + r"[\w+%-]+)*(?: at | ?\(at\) ?| ?\[at\] ?)[\w-]+(?:" + _DOT + r"[^\W_][\w-]*)*" + _DOT + r"[^\W\d_]{2,}", _I), 0.85),
+    re.compile(r"(?<![\w.+-])[\w.+%-]*\w\s?(?:@|\(at\)|\[at\])\s?" + _DOM),
+    re.compile(r"(?<![\w.+-])[\w.+%-]*\w\s(?:@|\(at\)|\[at\])\s" + _DOM, _I),
+    re.compile(r"(?<![\w.+-])[\w+%-]+(?:" + _DOT + r"[\w+%-]+)*(?: at | ?\(at\) ?| ?\[at\] ?)[\w-]+(?:" + _DOT + r"[^\W_][\w-]*)*" + _DOT + r"[^\W\d_]{2,}", _I),
 ]
-_SEP = r"(?:[-.‑–  ]| / )"
+_SEP = r"(?:[-.‑–  ]| / )"
 _B, _E = r"(?<![\w+#$€/.-])", r"(?:(?=[xX]\d{1,6}(?!\w))|(?![\w-]|[./]\d))"
 PHONE = [
-    (re.compile(_B + r"(?:\+?1[-.‑ ]?)?\(\d{3}\)[-.‑ ]?\d{3}[-.‑ ]?\d{4}" + _E), 0.95),
-    (re.compile(_B + r"(?:\+?1[-.‑ ])?\d{3}" + _SEP + r"\d{3}" + _SEP + r"\d{4}" + _E), 0.9),
-    (re.compile(r"(?<![\w+])\+1\d{10}" + _E), 0.95),
-    (re.compile(_B + r"[2-9]\d{9}" + _E), 0.7),
-    (re.compile(_B + r"\d{3}(?: \d){7}" + _E), 0.85),
-    (re.compile(r"(?<![\w+/.-])(?:\+44|0044|0)[ -]?7\d{3}[ -]?\d{3}[ -]?\d{3}" + _E), 0.95),
-    (re.compile(r"(?<![\w+/.-])(?:\+|00)[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,5}" + _E), 0.7),
+    re.compile(_B + r"(?:\+?1[-.‑ ]?)?\(\d{3}\)[-.‑ ]?\d{3}[-.‑ ]?\d{4}" + _E),
+    re.compile(_B + r"(?:\+?1[-.‑ ])?\d{3}" + _SEP + r"\d{3}" + _SEP + r"\d{4}" + _E),
+    re.compile(r"(?<![\w+])\+1\d{10}" + _E),
+    re.compile(_B + r"[2-9]\d{9}" + _E),
+    re.compile(_B + r"\d{3}(?: \d){7}" + _E),
+    re.compile(r"(?<![\w+/.-])(?:\+44|0044|0)[ -]?7\d{3}[ -]?\d{3}[ -]?\d{3}" + _E),
+    re.compile(r"(?<![\w+/.-])(?:\+|00)[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,5}" + _E),
 ]
 ID_NUMBER = [
-    (re.compile(_B + r"\d{3}([-‑ .])\d{2}\1\d{4}" + _E), 0.85),
-    (re.compile(r"(?<![\w-])[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-Z](?![\w-])", _I), 0.9),
-    (re.compile(r"(?<![\w-])[A-Z]\d{3}-\d{4}-\d{4}" + _E, _I), 0.9),
-    (re.compile(r"(?<![\w-])[A-Z]\d{8}(?![\w-])", _I), 0.85),
-    (re.compile(_B + r"9\d{8}" + _E), 0.6),
-    (re.compile(_B + r"\d{9}" + _E), 0.4),
+    re.compile(_B + r"\d{3}([-‑ .])\d{2}\1\d{4}" + _E),
+    re.compile(r"(?<![\w-])[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-Z](?![\w-])", _I),
+    re.compile(r"(?<![\w-])[A-Z]\d{3}-\d{4}-\d{4}" + _E, _I),
+    re.compile(r"(?<![\w-])[A-Z]\d{8}(?![\w-])", _I),
+    re.compile(_B + r"\d{9}" + _E),
 ]
 _STREET = "|".join(sorted(TYPE_OF, key=len, reverse=True))
+_BOX = re.compile(r"(?<![\w-])(?:P\.? ?O\.? ?Box|POB|Post(?:al)? Box|Postfach|Box) ?#?\d+(?![\w-])", _I)
 ADDRESS = [
-    (re.compile(r"(?<![\w$€.-])\d{1,5}[A-Za-z]?,? +(?:(?:N|S|E|W|North|South|East|West)\.? +)?[^\W\d_][\w'’-]*(?: [^\W\d_][\w'’-]*)?? +(?:" + _STREET + r")(?![\w-])", _I), 0.85),
-    (re.compile(r"(?<![\w-])(?:P\.? ?O\.? ?Box|POB|Post(?:al)? Box|Postfach) ?#?\d+(?![\w-])", _I), 0.9),
-    (re.compile(r"(?<![\w-])Box \d+(?![\w-])", _I), 0.45),
+    re.compile(r"(?<![\w$€.-])\d{1,5}[A-Za-z]?,? +(?:(?:N|S|E|W|North|South|East|West)\.? +)?[^\W\d_][\w'’-]*(?: [^\W\d_][\w'’-]*)?? +(?:" + _STREET + r")(?![\w-])", _I),
+    _BOX,
 ]
 SHAPES = [("email", EMAIL), ("id_number", ID_NUMBER), ("phone", PHONE), ("street_address", ADDRESS)]
+#: What proves a candidate without any context.
+SEEDS = {
+    "email": re.compile(r"[^\s@()\[\]]+@[^\s@()\[\]]+"),
+    "phone": re.compile(r"[+(].*"),
+    "id_number": re.compile(r"\d{3}-\d{2}-\d{4}|[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-Z]"),
+    "street_address": re.compile(r"\S+ [A-Z].* (?i:" + "|".join(t for t in TYPES if t != "way") + r")|(?i:P\.? ?O\.? ?Box.*)"),
+}
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*\.?")
 _NEAR = re.compile(r"[^\W\d_]+|[^\s\w]|\d+")
-# Words that stand beside names and are none.
+# Titles that stand before names and are no part of them.
 _TITLES = frozenset("mr mrs ms miss dr prof sir herr frau cc re fw fwd".split())
-_VERBS = frozenset("will mark grant pat may rob bill sue".split())
-_PLAIN_WORDS = frozenset(
-    "the and for with will left is was out has about from after until only now then that this please ask call handles signs on to of in at by not "
-    "sign said wants likes works street parking main room zip order ticket project batch flight server suite total".split()
-)
 
 
 def _case(word: str) -> str:
@@ -86,24 +94,51 @@ def _around(text: str, start: int, end: int) -> tuple[str | None, str | None, st
     return (" ".join(before) if left else None), left, (" ".join(after) if after and after[0].isalpha() else None)
 
 
-def find(text: str, givens: frozenset[str]) -> list[tuple]:
-    """(kind, start, size, slot, shape, family name, left two words, left word, right words) of all candidates."""
+def layout(kind: str, value: str) -> str:
+    """The way a value is written: digits, letters and words by their class."""
+    if kind == "street_address":
+        ws = re.findall(r"[^\W\d_]+", value.lower())
+        if _BOX.fullmatch(value):
+            return " ".join(ws)
+        return f"{ws[-1]} {_case(value.split(' ', 1)[1].lstrip())}"
+    if kind == "email":
+        return re.sub(r"[^@()\[\] ]+", lambda m: m.group().lower() if m.group().lower() in ("at", "dot") else "a", value)
+    return re.sub(r"\d", "9", re.sub(r"[^\W\d_]", "A", value))
+
+
+class Bloom:
+    """Words by one hash into a bit array of fixed size: no false "absent"."""
+
+    SIZE = 1 << 22
+
+    def __init__(self, positions: np.ndarray) -> None:
+        self.bits = np.zeros(self.SIZE, dtype=bool)
+        self.bits[positions] = True
+
+    def __contains__(self, word: str) -> bool:
+        return bool(self.bits[zlib.crc32(word.encode("utf-8", "surrogatepass")) % self.SIZE])
+
+
+def find(text: str, givens) -> list[tuple]:
+    """(kind, start, size, slot, seed, layout, given name, family name, left two words, left word, right words) of all
+    candidates."""
     out: list[tuple] = []
     rest = text
     for kind, shapes in SHAPES:
-        for regex, shape in shapes:
+        for regex in shapes:
             for m in regex.finditer(rest):
                 a, b = m.span()
-                s = shape
-                if kind == "street_address" and s == 0.85 and m.group().split(" ", 1)[1][:1].islower():
-                    s = 0.4
-                out.append((kind, a + 1, b - a, a, s, "", *_around(text, a, b)))
+                seed = SEEDS[kind].fullmatch(m.group()) is not None
+                out.append((kind, a + 1, b - a, a, seed, layout(kind, m.group()), None, None, *_around(text, a, b)))
             rest = regex.sub(lambda m: "\x00" * len(m.group()), rest)
+
+    def name(start: int, stop: int, slot: int, order: str, given: str, last: str) -> None:
+        out.append(("person_name", start + 1, stop - start, slot, False, order, given, last, *_around(text, start, stop)))
+
     ws = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(rest)]
     for i, (w, a, _) in enumerate(ws):
         bare = w.rstrip(".")
         p = plain(bare)
-        known = p in givens
         case = _case(bare)
         if p in _TITLES or len(bare) < 2:
             continue
@@ -113,30 +148,20 @@ def find(text: str, givens: frozenset[str]) -> list[tuple]:
         if gap_ok and len(ws[j][0].rstrip(".")) == 1 and j + 1 < len(ws) and rest[ws[j][2] : ws[j + 1][1]].strip(" ") == "":
             j += 1
         if gap_ok:
-            last, _, end = ws[j]
-            last = last.rstrip(".")
-            lp = plain(last)
-            lcase = _case(last)
-            if len(last) >= 3 and (case == lcase or (case == "title" and lcase == "title")) and lp not in _PLAIN_WORDS:
-                stop = ws[j][1] + len(last)
-                if known:
-                    # "will sign": a verb unless a family name proves it.
-                    shape = 0.65 if case != "lower" else 0.02 if p in _VERBS else 0.15
-                    out.append(("person_name", a + 1, stop - a, a, shape, lp, *_around(text, a, stop)))
-                elif case == "title" and p not in _PLAIN_WORDS:
-                    out.append(("person_name", a + 1, stop - a, a, 0.05, "", *_around(text, a, stop)))
+            last = ws[j][0].rstrip(".")
+            if len(last) >= 3 and case == _case(last) and (case == "title" or p in givens):
+                name(a, ws[j][1] + len(last), a, case, p, plain(last))
         # Family name, comma, given name.
-        if known and i and rest[ws[i - 1][2] : a].strip(" ") == "," and not ws[i - 1][0].endswith("."):
+        if i and rest[ws[i - 1][2] : a].strip(" ") == "," and not ws[i - 1][0].endswith(".") and p in givens:
             last, la, _ = ws[i - 1]
             if _case(last) == case and len(last) >= 3:
-                stop = a + len(bare)
-                out.append(("person_name", la + 1, stop - la, a, 0.3, plain(last), *_around(text, la, stop)))
+                name(la, a + len(bare), a, f"{case} reversed", p, plain(last))
     return out
 
 
-def candidates(df: DataFrame, key: str, text: str, givens: frozenset[str]) -> DataFrame:
+def candidates(df: DataFrame, key: str, text: str, givens) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(givens)
-    columns = ["id", "kind", "start_at", "size", "slot", "shape", "last", "left2", "left1", "right"]
+    columns = ["id", "kind", "start_at", "size", "slot", "seed", "layout", "given", "last", "left2", "left1", "right"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -145,66 +170,86 @@ def candidates(df: DataFrame, key: str, text: str, givens: frozenset[str]) -> Da
             yield pd.DataFrame(rows, columns=columns)
 
     kind = dict(df.dtypes)[key]
-    schema = f"id {kind}, kind string, start_at int, size int, slot int, shape double, last string, left2 string, left1 string, right string"
+    schema = f"id {kind}, kind string, start_at int, size int, slot int, seed boolean, layout string, given string, last string, left2 string, left1 string, right string"
     return df.where(F.trim(F.col(text)) != "").select(key, text).mapInPandas(run, schema)
 
 
-def given_lexicon(df: DataFrame, columns: list[str], max_givens: int = 20_000) -> frozenset[str]:
-    """Plain given names and short forms of the structured columns that occur at least twice, and the usual ones."""
-    cells = F.explode(F.array(*[F.lower(F.trim(F.col(c))) for c in columns])).alias("w")
-    rows = df.select(cells).where("length(w) >= 2").groupBy("w").agg(F.count("*").alias("n")).where("n >= 2")
-    top = rows.orderBy(F.desc("n"), "w").limit(max_givens).collect()
-    words = {plain(r["w"]) for r in top if " " not in r["w"]}
-    return frozenset(words | set(names.ROOTS))
-
-
-def family_names(df: DataFrame, column: str) -> DataFrame:
-    """last: distinct plain family names of a structured column."""
+def vocabulary(df: DataFrame, columns: list[str], word: str) -> DataFrame:
+    """word: all distinct plain values of structured columns."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"last": sorted({plain(x).strip() for x in pdf.iloc[:, 0] if x})})
+            yield pd.DataFrame({word: sorted({plain(x).strip() for x in pdf.iloc[:, 0] if x})})
 
-    return df.where(F.trim(F.col(column)) != "").select(column).distinct().mapInPandas(run, "last string").distinct()
+    cells = df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("w")).where("trim(w) <> ''").distinct()
+    return cells.mapInPandas(run, f"{word} string").distinct()
 
 
-_PATTERNS = ["left2", "left1", "right"]
+def bloom(words: DataFrame, word: str, more: frozenset[str]) -> Bloom:
+    """The filter of a vocabulary: at most ``Bloom.SIZE`` positions reach the driver, however long the vocabulary is."""
+    at = words.select((F.crc32(F.encode(word, "UTF-8")) % Bloom.SIZE).cast("int").alias("p")).distinct()
+    own = [zlib.crc32(w.encode()) % Bloom.SIZE for w in more]
+    return Bloom(np.concatenate([at.toPandas()["p"].to_numpy(dtype=np.int64), np.array(own, dtype=np.int64)]))
 
 
-def pattern_scores(instances: DataFrame, pattern: str, min_support: int) -> DataFrame:
-    """kind, pattern, confidence: mean belief in the instances that the pattern leads to."""
-    counted = instances.where(F.col(pattern).isNotNull()).groupBy("kind", pattern).agg(F.count("*").alias("n"), F.sum("belief").alias("s")).where(F.col("n") >= min_support)
-    return counted.select("kind", pattern, (F.col("s") / (F.col("n") + 1)).alias(f"conf_{pattern}"))
+#: How far a pattern of each sort can be believed.
+WEIGHTS = {"left2": 0.9, "left1": 0.6, "right": 0.8, "layout": 0.9}
+SEED_BELIEF = 0.95
 
 
-def _belief() -> Column:
-    doubt = 1 - F.col("seed")
-    for p, weight in (("left2", 0.9), ("left1", 0.5), ("right", 0.8)):
-        conf = F.coalesce(F.col(f"conf_{p}"), F.lit(0.0))
+def believe(classes: DataFrame, rounds: int) -> DataFrame:
+    """class, belief of evidence classes (class, kind, n, seed, known, layout, left2, left1, right) after some rounds."""
+    sorts = F.array(*[F.struct(F.lit(p).alias("sort"), F.lit(w).alias("weight"), F.col(p).alias("pattern")) for p, w in WEIGHTS.items()])
+    edges = classes.select("class", "kind", "n", F.explode(sorts).alias("e")).select("class", "kind", "n", "e.*").where("pattern is not null")
+    edges = cut(edges)
+    first = F.when(F.col("seed"), F.lit(SEED_BELIEF)).otherwise(F.lit(0.0))
+    start = classes.select("class", first.alias("first"), F.col("known").alias("given"), first.alias("belief"), "known")
+    now = start
+    for _ in range(rounds):
+        told = edges.join(now.where("known").select("class", "belief"), "class")
+        by_kind = told.groupBy("sort", "pattern", "kind").agg(F.sum(F.col("n") * F.col("belief")).alias("hits"), F.sum("n").alias("seen"))
+        # What is believed to be of another kind speaks against the pattern; layouts belong to one kind anyway.
+        every = by_kind.groupBy("sort", "pattern").agg(F.sum("hits").alias("all_hits"))
+        scores = by_kind.join(every, ["sort", "pattern"]).withColumn(
+            "score", F.col("hits") / (F.col("seen") + F.when(F.col("sort") == "layout", 0.0).otherwise(F.col("all_hits") - F.col("hits")) + 1)
+        )
+        reached = edges.join(scores.select("sort", "pattern", "kind", "score"), ["sort", "pattern", "kind"])
         # Only patterns that mostly lead to instances speak for a candidate.
-        doubt = doubt * (1 - F.when(conf >= 0.5, conf * weight).otherwise(0.0))
-    return 1 - doubt
+        doubt = F.when(F.col("score") > 0.5, 1 - F.col("score") * F.col("weight")).otherwise(F.lit(1.0))
+        felt = reached.groupBy("class").agg(F.product(doubt).alias("doubt"), F.max(F.col("weight") >= 0.8).alias("felt"))
+        now = start.select("class", "first", "given").join(felt, "class", "left")
+        now = cut(now.select(
+            "class", "first", "given", (1 - (1 - F.col("first")) * F.coalesce("doubt", F.lit(1.0))).alias("belief"),
+            (F.col("given") | F.coalesce("felt", F.lit(False))).alias("known"),
+        ))
+    return now.select("class", "belief")
 
 
 def extract(
-    df: DataFrame, key: str, text: str, lexicon: DataFrame, given_columns: list[str], family_column: str, rounds: int = 2,
-    threshold: float = 0.5, min_support: int = 3,
-) -> DataFrame:
+    df: DataFrame, key: str, text: str, lexicon: DataFrame, given_columns: list[str], family_column: str, rounds: int = 3, threshold: float = 0.5
+) -> DataFrame:
     """key, kind, start_at, size, confidence of every item."""
-    givens = given_lexicon(lexicon, given_columns)
-    found = candidates(df, key, text, givens)
-    known = family_names(lexicon, family_column).withColumn("is_family", F.lit(True))
-    seeds = found.join(known, "last", "left")
-    proven = F.col("is_family").isNotNull() & (F.col("last") != "")
-    seed = F.when(proven, F.greatest("shape", F.lit(0.8))).otherwise(F.col("shape"))
-    seeds = cut(seeds.select("id", "kind", "start_at", "size", "slot", seed.alias("seed"), "last", *_PATTERNS))
-    now = seeds.withColumn("belief", F.col("seed"))
-    for _ in range(rounds):
-        scored = seeds
-        for p in _PATTERNS:
-            scored = scored.join(pattern_scores(now, p, min_support), ["kind", p], "left")
-        now = scored.withColumn("belief", _belief()).drop(*[f"conf_{p}" for p in _PATTERNS])
-    kept = now.where(F.col("belief") >= threshold)
+    givens = cut(vocabulary(lexicon, given_columns, "given"))
+    found = candidates(df, key, text, bloom(givens, "given", frozenset(names.ROOTS)))
+    usual = df.sparkSession.createDataFrame([(n,) for n in sorted(names.ROOTS)], "given string")
+    known_given = givens.union(usual).distinct().withColumn("is_given", F.lit(True))
+    known_family = vocabulary(lexicon, [family_column], "last").withColumn("is_family", F.lit(True))
+    found = found.join(known_given, "given", "left").join(known_family, "last", "left")
+    person = F.col("kind") == "person_name"
+    is_given, is_family = F.col("is_given").isNotNull(), F.col("is_family").isNotNull()
+    # Small letters, capitals and a comma make a name only around a known given name.
+    found = found.where(~person | is_given | (F.col("layout") == "title"))
+    # Two capitalised words say nothing by themselves; an unknown name must be found by its contexts.
+    named = F.when(is_given, F.concat("layout", F.lit(" given")))
+    evidence = ["kind", "seed", "known", "layout", "left2", "left1", "right"]
+    found = found.select(
+        "id", "kind", "start_at", "size", "slot", (F.col("seed") | (person & is_given & is_family)).alias("seed"), (F.col("seed") | person).alias("known"),
+        F.when(person, named).otherwise(F.col("layout")).alias("layout"), "left2", "left1", "right",
+    )
+    found = cut(found.withColumn("class", F.md5(F.concat_ws("\x01", *[F.coalesce(F.col(e).cast("string"), F.lit("\x00")) for e in evidence]))))
+    classes = cut(found.groupBy("class", *evidence).agg(F.count("*").cast("double").alias("n")))
+    beliefs = believe(classes, rounds).where(F.col("belief") >= threshold)
+    kept = found.select("class", "id", "kind", "start_at", "size", "slot").join(beliefs, "class")
     # Two readings of one name: the more believable one, then the earlier.
     best = kept.groupBy("id", "kind", "slot").agg(F.max(F.struct("belief", (-F.col("start_at")).alias("at"), "size")).alias("b"))
     return best.select(

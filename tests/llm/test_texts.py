@@ -10,29 +10,54 @@ from rolodar.llm import abuse, leaks, personal, tokens
 from rolodar.llm.plaintext import words
 
 
-def test_personal(spark):
-    notes = [
-        "Spoke with Guillermo Rasfieau about terms. Call +1 914 555 9360.",
-        "Reach via walterk at istfiasecurity dot example only! Tax id 936776385 on file.",
-        "Moved to 1158 Ridgeholmill Ave, Brifoton. Serial 00-18118-463839 registered.",
-        "introduced by Elmpradale, Kostya. PO Box 1177, Rushhiburg.",
-        "Order 375295-14418 shipped in 2021. Server 10.1.1.243 hosts it. Likes the Open Desk demo.",
-        "QQ 24 90 64 C and S872-9305-8111 (d@x.example)", "", None, "z " * 30000,
-    ]
-    df = spark.createDataFrame([(i, n, "k") for i, n in enumerate(notes)], "rec_id long, notes string, kind string")
-    people = spark.createDataFrame([("Guillermo", "", "Rasfieau"), ("Guillermo", "Memo", "X"), ("Konstantin", "Kostya", "Elmpradale")], "first_name string, nickname string, last_name string")
-    items = personal.extract(df, "rec_id", "notes", people, ["first_name", "nickname"], "last_name").cache()
-    got = {(r["rec_id"], r["kind"], notes[r["rec_id"]][r["start_at"] - 1 :][: r["size"]]) for r in items.collect()}
-    assert got == {
-        (0, "person_name", "Guillermo Rasfieau"), (0, "phone", "+1 914 555 9360"), (1, "email", "walterk at istfiasecurity dot example"), (1, "id_number", "936776385"),
-        (2, "street_address", "1158 Ridgeholmill Ave"), (3, "person_name", "Elmpradale, Kostya"), (3, "street_address", "PO Box 1177"), (5, "id_number", "QQ 24 90 64 C"),
-        (5, "id_number", "S872-9305-8111"), (5, "email", "d@x.example"),
+def personal_corpus():
+    """Notes in which contexts stand beside proven and unproven forms, and what each holds."""
+    rng = random.Random(5)
+    givens, families = ["Guillermo", "Konstantin", "Susan", "Zoë"], ["Rasfieau", "Elmpradale", "Ray", "Juleci"]
+    forms = {
+        "phone": ["+1 914 555 {:04}", "914.555.{:04}", "914 / 555 / {:04}"], "email": ["a{}@helm.example", "a{} at helm dot example"],
+        "id_number": ["936-77-{:04}", "93677{:04}", "S872-9305-{:04}"], "street_address": ["{} Ridge Avenue", "{} Ridge Ave", "PO Box {}", "Box {}"],
     }
+    before = {"phone": ["Please call", "reachable on"], "email": ["new mail is", "write to"], "id_number": ["passport no.", "tax id"], "street_address": ["moved to", "ship to"]}
+    notes, truth = [], []
+    for i in range(400):
+        kind = sorted(forms)[i % 4]
+        value = rng.choice(forms[kind]).format(1000 + i)
+        head = rng.choice(before[kind])
+        who = f"{rng.choice(givens)} {rng.choice(families)}" if i % 3 else f"New{'abcdefgh'[i % 8]}x Unheard{'abcdefgh'[i % 7]}"
+        text = f"Spoke with {who} about terms. {head} {value} soon. Order {100000 + i:06}-{20000 + i} shipped."
+        if i % 5 == 0:
+            text += " Works with Granara Robotics now. will sign later"
+        truth += [(i, "person_name", who), (i, kind, value)]
+        notes.append(text)
+    return notes + ["", None, "z " * 30000, "Clear View demo"], truth
+
+
+def test_personal(spark):
+    notes, truth = personal_corpus()
+    df = spark.createDataFrame([(i, n, "k") for i, n in enumerate(notes)], "rec_id long, notes string, kind string").repartition(3)
+    people = spark.createDataFrame([("Guillermo", "", "Rasfieau"), ("Konstantin", "Will", "Elmpradale"), ("Susan", None, "Ray"), ("Zoë", "", "Juleci")], "first_name string, nickname string, last_name string")
+
+    def found(rounds):
+        items = personal.extract(df, "rec_id", "notes", people, ["first_name", "nickname"], "last_name", rounds=rounds).cache()
+        return items, {(r["rec_id"], r["kind"], notes[r["rec_id"]][r["start_at"] - 1 :][: r["size"]]) for r in items.collect()}
+
+    _, seeds = found(0)
+    items, got = found(3)
+    # Seeds alone prove the strict forms; contexts and layouts find the others, and names that no list holds.
+    assert seeds < set(truth) and len(seeds) < 0.7 * len(truth)
+    assert got == set(truth)
     red = {r["rec_id"]: r["notes"] for r in personal.redact(df, "rec_id", "notes", items).collect()}
-    assert red[0] == "Spoke with [NAME] about terms. Call [PHONE]." and red[4] == notes[4] and red[7] is None
+    assert red[1].startswith("Spoke with [NAME] about terms.") and "[ID]" in red[1] and "Order 100001-20001" in red[1] and red[401] is None and red[403] == notes[403]
     assert personal.extract(df.limit(0), "rec_id", "notes", people, ["first_name"], "last_name").count() == 0
 
 
+def test_bloom_has_every_word(spark):
+    words_ = [f"name{i}" for i in range(5000)] + ["zoë", "漢字"]
+    filter_ = personal.bloom(spark.createDataFrame([(w,) for w in words_], "given string"), "given", frozenset(["bob"]))
+    assert all(w in filter_ for w in [*words_, "bob"]) and sum(f"other{i}" in filter_ for i in range(5000)) < 50
+
+
 TEXTS = ["", "Hello world", "aaaaaaaaa", "<|endoftext|> x", "   ", "\n\n  x", "😀 é́ 漢字​", "I'LL we'll they've", "a" * 5001, "----====----", "x1y22z333", None]
 
 
