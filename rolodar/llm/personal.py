@@ -193,7 +193,7 @@ def bloom(words: DataFrame, word: str, more: frozenset[str]) -> Bloom:
 
 
 #: How far a pattern of each sort can be believed.
-WEIGHTS = {"left2": 0.9, "left1": 0.6, "right": 0.8, "layout": 0.9}
+WEIGHTS = {"left2": 0.9, "left1": 0.45, "right": 0.8, "layout": 0.9}
 SEED_BELIEF = 0.95
 
 
