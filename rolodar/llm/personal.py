@@ -22,9 +22,10 @@ seeds, and the rounds find less beside them.
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -106,6 +107,11 @@ def layout(kind: str, value: str) -> str:
     return re.sub(r"\d", "9", re.sub(r"[^\W\d_]", "A", value))
 
 
+@lru_cache(maxsize=50_000)
+def _position(word: str) -> int:
+    return int(hashlib.md5(word.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) % Bloom.SIZE
+
+
 class Bloom:
     """Words by one hash into a bit array of fixed size: no false "absent"."""
 
@@ -116,7 +122,7 @@ class Bloom:
         self.bits[positions] = True
 
     def __contains__(self, word: str) -> bool:
-        return bool(self.bits[zlib.crc32(word.encode("utf-8", "surrogatepass")) % self.SIZE])
+        return bool(self.bits[_position(word)])
 
 
 def find(text: str, givens) -> list[tuple]:
@@ -187,8 +193,8 @@ def vocabulary(df: DataFrame, columns: list[str], word: str) -> DataFrame:
 
 def bloom(words: DataFrame, word: str, more: frozenset[str]) -> Bloom:
     """The filter of a vocabulary: at most ``Bloom.SIZE`` positions reach the driver, however long the vocabulary is."""
-    at = words.select((F.crc32(F.encode(word, "UTF-8")) % Bloom.SIZE).cast("int").alias("p")).distinct()
-    own = [zlib.crc32(w.encode()) % Bloom.SIZE for w in more]
+    at = words.select((F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long") % Bloom.SIZE).cast("int").alias("p")).distinct()
+    own = [_position(w) for w in more]
     return Bloom(np.concatenate([at.toPandas()["p"].to_numpy(dtype=np.int64), np.array(own, dtype=np.int64)]))
 
 
