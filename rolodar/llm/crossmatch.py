@@ -1,21 +1,21 @@
 """Matching entities across two sources without keys: inverted-index BM25, mutual nearest, calibrated confidence.
 
 Attributes become terms in one spelling (given name by its root, family name and company by their established
-spelling, mailboxes, numbers by their digits). The index holds the card side's terms with BM25 weights (a term's
-frequency and the record's length against the corpus). A pair can only pass the evidence check if it shares a name
-and one more attribute, so the index is looked up by its essential keys only: own mailboxes, own numbers, and the conjunction of initial, family name and
-employer. Pairs that share none are not looked up; BM25 only annotates the rows, no score decides. Hot terms -
-a family name that a tenth of all rows have, a huge employer, a switchboard - are never expanded on their own.
+spelling, mailboxes, numbers by their digits, and the conjunction of the three names by sound). The index holds the
+card side's terms with BM25 weights: inverse document frequency times the field's boost, and the record's length.
 
-Every looked-up pair gets its whole BM25 score over all attributes, its distance to the best partner of either side
-(mutual nearest: both are 0), and a confidence from these by a logistic fit on pairs that a common own mailbox or number
-proves, and looked-up pairs whose names do not agree.
+1. Retrieval: every row of the net side is a query. All cards whose score exceeds the query's bound are found, and only
+   postings of essential terms are read for it (``retrieve`` states the bound). Hot terms - a family name that a tenth of
+   all rows have, a huge employer, a switchboard - are never expanded.
+2. Nearest test: a pair is nearest on both sides, or on one (a person may stand twice on the other).
+3. Confidence: a logistic calibration of score and gap, fitted on retrieved pairs that a common own mailbox or number
+   proves against namesakes and retrieved pairs whose names differ; at most ``max_fit`` of each, a documented bound.
+4. An exact check of the evidence follows: agreeing names, and an own mailbox, an own number or the employer.
 
-The evidence check is exact: compatible names, and an own mailbox, an own number (one person's in both tables) or the
-employer. All steps are keyed joins and aggregations; the fit sees at most ``max_fit`` pairs, a documented bound.
+All steps are keyed joins and aggregations.
 
 Defined results: nulls and blanks are missing attributes; records without a family name match nothing; repeated rows
-match like their copies; extra columns are ignored; empty tables give no rows.
+match like their copies; extra columns are ignored; empty tables give no rows; of equal scores all are nearest.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ ROLES = ("office info hello contact kontakt sales support admin mail team servic
 _MAIL = re.compile(r"[^\s;,|:<>\"()/]+@[^\s;,|:<>\"()/]+\.[^\s;,|:<>\"()/.]+")
 _PHONE = re.compile(r"(?<!\d)\+?\d[\d ().\-]{7,16}\d(?!\d)")
 K1, B = 1.2, 0.75
+#: Boost of the terms that are evidence: own mailboxes and numbers, and a whole name with its employer.
+BOOST = 3.0
 
 
 def company_key(text: str | None) -> str:
@@ -73,33 +75,37 @@ def parse_records(df: DataFrame, key: str, name: str, emails: str, phones: str,
                 last = ws[-1] if ws else ""
                 given = ws[0] if len(ws) > 1 else ""
                 first = given or (person.initials[0] if person.initials else "")
-                rows.append((k, given, first, last, person.suffix, mailboxes(e), numbers(p), company_key(c)))
-            yield pd.DataFrame(rows, columns=["id", "given", "first", "last", "suffix", "mails", "phones", "company"])
+                root = sorted(names.slip_roots(given))[0] if given else ""
+                rows.append((k, root, first, last, person.suffix, names.phonetic(root), names.phonetic(last), mailboxes(e), numbers(p), company_key(c)))
+            yield pd.DataFrame(rows, columns=["id", "root", "first", "last", "suffix", "sound_root", "sound_last", "mails", "phones", "company"])
 
-    schema = f"id {kind}, given string, first string, last string, suffix string, mails array<string>, phones array<string>, company string"
+    texts = "root string, first string, last string, suffix string, sound_root string, sound_last string"
+    schema = f"id {kind}, {texts}, mails array<string>, phones array<string>, company string"
     return df.select(key, name, emails, phones, company).mapInPandas(run, schema).where("last <> ''")
 
 
 @F.pandas_udf(T.StringType())
-def _root(given: pd.Series) -> pd.Series:
-    """Root of a known given name, also of one with a slip; other names stay as they are."""
-    return given.map(lambda g: sorted(names.slip_roots(g))[0] if g else "")
-
-
-def canonical(both: DataFrame) -> DataFrame:
-    """One spelling for given names, family names and companies of the stacked sides."""
-    out = cut(both.withColumn("root", _root(F.col("given"))))
-    for column in ("last", "company", "root"):
-        spellings = cut(out.where(f"{column} <> ''").groupBy(column).agg(F.count("*").alias("n")))
-        if column == "root":
-            # Known names are no slips of each other.
-            known = sorted({r for rs in names.ROOTS.values() for r in rs})
-            canon = established(spellings, column).where(~F.col(column).isin(known))
-        else:
-            canon = established(spellings, column)
-        out = cut(out.join(canon, column, "left").withColumn(column, F.coalesce("canon", column)).drop("canon"))
-    initial = F.when(F.col("root") != "", F.substring("root", 1, 1)).otherwise(F.substring("first", 1, 1))
-    return out.withColumn("initial", initial)
+def _sound(word: pd.Series) -> pd.Series:
+    return word.map(names.phonetic)
+
+
+def canonical(rows: DataFrame) -> DataFrame:
+    """One spelling for given-name roots, family names and companies of the stacked sides: one dictionary of distinct
+    spellings, one deletion-neighbourhood join on it, and look-ups of the slips only."""
+    columns = ["root", "last", "company"]
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    spelled = rows.select(F.explode(cells).alias("s")).where("s.value <> ''").groupBy("s.column", "s.value").agg(F.count("*").alias("n"))
+    slips = established(cut(spelled), "value", ["column"])
+    # Known names are no slips of each other.
+    known = sorted({r for rs in names.ROOTS.values() for r in rs})
+    slips = slips.where((F.col("column") != "root") | ~F.col("value").isin(known))
+    slips = cut(slips.withColumn("sound", _sound("canon")))
+    for c in columns:
+        rows = rows.join(slips.where(F.col("column") == c).select(F.col("value").alias(c), "canon", "sound"), c, "left")
+        if c != "company":
+            rows = rows.withColumn(f"sound_{c}", F.coalesce("sound", f"sound_{c}"))
+        rows = rows.withColumn(c, F.coalesce("canon", c)).drop("canon", "sound")
+    return rows
 
 
 def _prefixed(tag: str, values: Column) -> Column:
@@ -107,128 +113,168 @@ def _prefixed(tag: str, values: Column) -> Column:
 
 
 def with_terms(rows: DataFrame) -> DataFrame:
-    single = F.array_compact(
-        F.array(
-            F.when(F.col("root") != "", F.concat(F.lit("g:"), "root")),
-            F.concat(F.lit("l:"), "last"),
-            F.when(F.col("company") != "", F.concat(F.lit("c:"), "company")),
-        )
-    )
-    terms = F.concat(single, _prefixed("m:", F.col("mails")), _prefixed("p:", F.col("phones")))
+    """Adds ``terms``: given name, family name, employer, mailboxes, numbers, and ``x:``, the conjunction of the three
+    names (by sound). A lone initial meets whole names of the other side and other initials; whole names meet each
+    other, so that a frequent family name and a huge employer are never paired by an initial among themselves."""
+    single = [
+        F.when(F.col("root") != "", F.concat(F.lit("g:"), "root")), F.concat(F.lit("l:"), "last"), F.when(F.col("company") != "", F.concat(F.lit("c:"), "company")),
+    ]
+    at_work = lambda tag, first: F.when(F.col("company") != "", F.concat_ws("|", tag, first, "sound_last", "company"))
+    whole = F.col("root") != ""
+    mine, other = F.concat(F.lit("x:"), "side"), F.concat(F.lit("x:"), F.translate("side", "ab", "ba"))
+    both = F.when(whole, at_work(F.lit("x:whole"), F.col("sound_root"))).otherwise(at_work(F.lit("x:short"), F.col("initial")))
+    crossed = F.when(whole, at_work(other, F.col("initial"))).otherwise(at_work(mine, F.col("initial")))
+    terms = F.concat(F.array_compact(F.array(*single, both, crossed)), _prefixed("m:", F.col("mails")), _prefixed("p:", F.col("phones")))
     return rows.withColumn("terms", F.array_distinct(terms))
 
 
-#: A mailbox or number with more spellings of names than this is no one person's.
-MAX_SPELLINGS = 6
-
-
 @F.pandas_udf(T.BooleanType())
-def _one_person(people: pd.Series) -> pd.Series:
-    def agree(rows) -> bool:
-        ps = [(p["root"], p["last"], p["suffix"]) for p in rows]
-        for i, (r, x, u) in enumerate(ps):
-            for q, y, v in ps[:i]:
-                near = names.one_slip(x, y) or names.jaro_winkler(x, y) >= 0.95
-                if u != v or not near or not (r == q or (min(len(r), len(q)) >= 4 and names.one_slip(r, q))):
-                    return False
-        return True
+def _agree(root: pd.Series, last: pd.Series, top_root: pd.Series, top_last: pd.Series) -> pd.Series:
+    """Whether two names may be one person's."""
+
+    def one(r: str, x: str, q: str, y: str) -> bool:
+        near = names.one_slip(x, y) or names.jaro_winkler(x, y) >= 0.95
+        return near and (r == q or (min(len(r), len(q)) >= 4 and names.one_slip(r, q)))
 
-    return people.map(agree)
+    return pd.Series([one(*v) for v in zip(root, last, top_root, top_last, strict=True)], dtype=bool)
 
 
-def owners(rows: DataFrame) -> DataFrame:
-    """term: the mailboxes and numbers that belong to one person (desks' mailboxes never do)."""
+def owners(postings: DataFrame) -> DataFrame:
+    """term: the mailboxes and numbers that belong to one person: every full name on them agrees with the most frequent
+    one. Desks' mailboxes never do."""
     role = F.lower(F.regexp_extract("term", r"^m:([^@]+)@", 1)).isin(ROLES)
-    used = rows.select("root", "last", "suffix", F.explode(F.filter("terms", lambda t: F.rlike(t, F.lit("^[mp]:")))).alias("term"))
-    named = used.where(~role & (F.col("root") != "")).distinct()
-    few = named.groupBy("term").agg(F.count("*").alias("n")).where(f"n <= {MAX_SPELLINGS}")
-    spelled = named.join(few, "term").groupBy("term", "n").agg(F.collect_list(F.struct("root", "last", "suffix")).alias("people"))
-    return spelled.where((F.col("n") == 1) | _one_person("people")).select("term")
+    named = postings.where(F.rlike("term", F.lit("^[mp]:")) & ~role & (F.col("root") != ""))
+    spelled = cut(named.groupBy("term", "root", "last", "suffix").agg(F.count("*").alias("n")))
+    top = spelled.groupBy("term").agg(F.count("*").alias("k"), F.max(F.struct("n", "root", "last", "suffix")).alias("t"))
+    other = spelled.join(top.where("k > 1"), "term").where("not (root = t.root and last = t.last and suffix = t.suffix)")
+    fits = (F.col("suffix") == F.col("t.suffix")) & _agree("root", "last", "t.root", "t.last")
+    strangers = other.where(~fits).select("term").distinct()
+    return top.select("term").join(strangers, "term", "left_anti")
+
+
+def index(rows: DataFrame) -> DataFrame:
+    """The rows with ``weights`` (term, weight, essential) and ``norm`` (BM25's length norm).
+
+    A term weighs its inverse document frequency on the card side times its field's boost; terms that no card has, and
+    mailboxes and numbers that several people share, weigh nothing."""
+    postings = cut(rows.select("side", "id", "root", "last", "suffix", F.explode("terms").alias("term")))
+    size = rows.where("side = 'b'").agg(F.count("*").alias("n_docs"), F.avg(F.size("terms")).alias("avg_len"))
+    df = postings.groupBy("term").agg(F.count_if(F.col("side") == "b").alias("df"))
+    own = owners(postings).withColumn("own", F.lit(True))
+    # ``size`` is one row.
+    stats = df.join(own, "term", "left").crossJoin(F.broadcast(size)).withColumn("own", F.coalesce("own", F.lit(False)))
+    idf = F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
+    field = F.substring("term", 1, 1)
+    essential = F.when(field.isin("m", "p"), F.col("own")).otherwise(field == "x")
+    boost = F.when(essential, BOOST).when(field.isin("m", "p"), 0.0).otherwise(1.0)
+    stats = stats.select("term", F.when(F.col("df") > 0, idf * boost).otherwise(0.0).alias("w"), essential.alias("essential"))
+    weighted = postings.select("side", "id", "term").join(stats, "term")
+    weighted = weighted.groupBy("side", "id").agg(F.collect_list(F.struct("term", "w", "essential")).alias("weights"))
+    norm = (K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / F.col("avg_len")))
+    return rows.crossJoin(F.broadcast(size)).withColumn("norm", norm).drop("n_docs", "avg_len").join(weighted, ["side", "id"])
 
 
-def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs that share an own mailbox or number, or a name (initial and family name) with an employer."""
+def _total(weights: Column) -> Column:
+    return F.aggregate(F.transform(weights, lambda t: t["w"]), F.lit(0.0), lambda x, y: x + y)
 
-    def keyed(rows: DataFrame, name: str) -> DataFrame:
-        work = F.when((F.col("company") != ""), F.concat_ws("|", F.lit("c"), "initial", "last", "company"))
-        keys = F.array_compact(F.array_append("own", work))
-        return rows.select(F.col("id").alias(name), F.explode(keys).alias("key"))
 
-    return keyed(left, "a").join(keyed(right, "b"), "key").select("a", "b").distinct()
+def retrieve(left: DataFrame, right: DataFrame) -> DataFrame:
+    """a, b of all pairs that share an essential posting (once for each).
 
+    Exact pruning: what a card can reach without an essential term of the query is bounded by the query's two heaviest
+    names (all three make the conjunction, which is essential); pairs above that bound are wanted, so the long postings
+    of single names and employers, and those of shared mailboxes and numbers, are never read."""
 
-def bm25_index(right: DataFrame) -> DataFrame:
-    """id, weights: every record's terms with their BM25 weight."""
-    size = right.agg(F.count("*").alias("n_docs"), F.avg(F.size("terms")).alias("avg_len"))
-    post = right.select("id", F.size("terms").alias("len"), F.explode("terms").alias("term"))
-    df = post.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    norm = (K1 + 1) / (1 + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
-    # ``size`` is one row.
-    weighted = post.join(df, "term").crossJoin(F.broadcast(size)).select("id", F.struct("term", (idf * norm).alias("w")).alias("t"))
-    return weighted.groupBy("id").agg(F.collect_list("t").alias("weights"))
-
-
-def score_pairs(net: DataFrame, card: DataFrame) -> DataFrame:
-    """a, b, evidence flags, BM25 score, and the gap to the best partner on either side, of all looked-up pairs."""
-    tagged = net.withColumn("side", F.lit("a")).unionByName(card.withColumn("side", F.lit("b")))
-    both = cut(with_terms(canonical(tagged)))
-    own = owners(both)
-    mine = both.select("side", "id", F.explode("terms").alias("term")).join(own, "term").groupBy("side", "id").agg(F.collect_list("term").alias("own"))
-    both = both.join(mine, ["side", "id"], "left").withColumn("own", F.coalesce("own", F.array().cast("array<string>")))
-    both = cut(both)
+    def posted(rows: DataFrame, name: str) -> DataFrame:
+        terms = F.transform(F.filter("weights", lambda t: t["essential"] & (t["w"] > 0)), lambda t: t["term"])
+        return rows.select(F.col("id").alias(name), F.explode(terms).alias("term"))
+
+    return posted(left, "a").join(posted(right, "b"), "term").select("a", "b")
+
+
+def namesakes(left: DataFrame, right: DataFrame, most: int) -> DataFrame:
+    """a, b of rows with one family name among ``most`` rows of either side (lowest hash first): what chance brings
+    together, for the calibration only."""
+    some = lambda rows, name: rows.orderBy(F.xxhash64("id"), "id").limit(most).select(F.col("id").alias(name), "last")
+    return some(left, "a").join(some(right, "b"), "last").select("a", "b")
+
+
+def score_pairs(net: DataFrame, card: DataFrame, probes: int = 2_000) -> DataFrame:
+    """a, b, evidence, BM25 score, and the gaps to the best partner on either side, of all pairs above the bound; and,
+    marked ``probe``, of some namesakes that were not retrieved."""
+    rows = canonical(cut(net.withColumn("side", F.lit("a")).unionByName(card.withColumn("side", F.lit("b")))))
+    rows = rows.withColumn("initial", F.when(F.col("root") != "", F.substring("root", 1, 1)).otherwise(F.substring("first", 1, 1)))
+    both = cut(index(cut(with_terms(rows))))
     left, right = both.where("side = 'a'"), both.where("side = 'b'")
-    record = F.struct("given", "root", "last", "initial", "suffix", "company", "terms", "own")
-    pairs = cut(candidates(left, right))
-    pairs = pairs.join(left.select(F.col("id").alias("a"), record.alias("ra")), "a").join(right.select(F.col("id").alias("b"), record.alias("rb")), "b")
-    pairs = pairs.join(bm25_index(right).withColumnRenamed("id", "b"), "b")
-    hits = F.filter("weights", lambda t: F.array_contains("ra.terms", t["term"]))
-    score = F.aggregate(F.transform(hits, lambda t: t["w"]), F.lit(0.0), lambda x, y: x + y)
-    full = (F.col("ra.given") != "") & (F.col("rb.given") != "")
-    proof = F.arrays_overlap("ra.own", "rb.own")
-    # The owners' test has found all full names on an own mailbox or number to be one person's.
-    same = (F.col("ra.root") == F.col("rb.root")) & (F.col("ra.last") == F.col("rb.last"))
-    near = F.levenshtein("ra.last", "rb.last") <= 2
-    named = F.when(full, same | proof).otherwise((F.col("ra.initial") == F.col("rb.initial")) & ((F.col("ra.last") == F.col("rb.last")) | (proof & near)))
-    named = named & (F.col("ra.suffix") == F.col("rb.suffix"))
-    employer = (F.col("ra.company") != "") & (F.col("ra.company") == F.col("rb.company")) & (F.col("ra.last") == F.col("rb.last"))
-    out = pairs.select("a", "b", score.alias("score"), named.alias("named"), full.alias("full"), proof.alias("proof"), employer.alias("employer"))
-    out = cut(out)
-    best_a = out.groupBy("a").agg(F.max("score").alias("top_a"))
-    best_b = out.groupBy("b").agg(F.max("score").alias("top_b"))
-    out = out.join(best_a, "a").join(best_b, "b")
-    return out.withColumn("gap", (F.col("top_a") - F.col("score")) + (F.col("top_b") - F.col("score")))
+    record = F.struct("root", "last", "initial", "suffix", "company", "sound_root", "sound_last", "weights", "norm")
+    wanted = retrieve(left, right).withColumn("probe", F.lit(False)).unionByName(namesakes(left, right, probes).withColumn("probe", F.lit(True)))
+    wanted = wanted.groupBy("a", "b").agg(F.min("probe").alias("probe"))
+    pairs = wanted.join(left.select(F.col("id").alias("a"), record.alias("ra")), "a")
+    pairs = pairs.join(right.select(F.col("id").alias("b"), record.alias("rb")), "b")
+    theirs = F.transform("rb.weights", lambda t: t["term"])
+    pairs = pairs.withColumn("shared", F.filter("ra.weights", lambda t: F.array_contains(theirs, t["term"])))
+    names_of = F.sort_array(F.transform(F.filter("ra.weights", lambda t: ~t["essential"]), lambda t: t["w"]), asc=False)
+    bound = F.coalesce(F.get(names_of, F.lit(0)), F.lit(0.0)) + F.coalesce(F.get(names_of, F.lit(1)), F.lit(0.0))
+    total = _total(F.col("shared"))
+    full = (F.col("ra.root") != "") & (F.col("rb.root") != "")
+    proof = F.exists("shared", lambda t: t["essential"] & ~F.startswith(t["term"], F.lit("x:")))
+    employer = F.exists("shared", lambda t: F.startswith(t["term"], F.lit("x:")))
+    equal = lambda c: F.col(f"ra.{c}") == F.col(f"rb.{c}")
+    # Slips that keep the sound may be two letters; all full names on an own mailbox or number have been found to agree.
+    close = lambda c: F.levenshtein(f"ra.{c}", f"rb.{c}") <= F.when(equal(f"sound_{c}") | proof, 2).otherwise(1)
+    first = F.when(full, equal("root") | proof | close("root")).otherwise(equal("initial"))
+    out = cut(pairs.where((total > bound) | F.col("probe")).select(
+        "a", "b", "probe", (total * F.col("rb.norm")).alias("score"), (first & close("last") & equal("suffix")).alias("named"), full.alias("full"), proof.alias("proof"),
+        employer.alias("employer"), (equal("root") & equal("last")).alias("same"),
+    ))
+    real = out.where(~F.col("probe"))
+    out = out.join(real.groupBy("a").agg(F.max("score").alias("top_a")), "a", "left").join(real.groupBy("b").agg(F.max("score").alias("top_b")), "b", "left")
+    out = out.withColumns({t: F.coalesce(t, "score") for t in ("top_a", "top_b")})
+    return out.withColumns({"gap_a": F.col("top_a") - F.col("score"), "gap_b": F.col("top_b") - F.col("score")})
 
 
 def fit_confidence(pairs: DataFrame, max_fit: int = 20_000) -> tuple[float, float, float]:
-    """Intercept and slopes (score, gap) of the logistic calibration."""
-    rows = pairs.where("proof or not named").orderBy(F.xxhash64("a", "b"), "a", "b").limit(max_fit).select("score", "gap", (F.col("named") & F.col("proof")).cast("int").alias("y")).toPandas()
-    x = np.column_stack([np.ones(len(rows)), rows["score"].to_numpy(float) / 10, rows["gap"].to_numpy(float) / 10]) if len(rows) else np.zeros((0, 3))
-    y = rows["y"].to_numpy(float) if len(rows) else np.zeros(0)
-    w = np.array([-2.0, 2.0, -2.0])
-    if len(set(y.tolist())) == 2:
-        for _ in range(25):  # Newton steps with a small ridge
+    """Intercept and slopes (score, gap) of the logistic calibration: retrieved pairs with a proof and equal names
+    against namesakes and pairs whose names differ; at most ``max_fit`` of each (lowest hash first)."""
+    found = []
+    for kind, y in (("named and proof and same and not probe", 1.0), ("probe or not named", 0.0)):
+        rows = pairs.where(kind).orderBy(F.xxhash64("a", "b"), "a", "b").limit(max_fit).select("score", (F.col("gap_a") + F.col("gap_b")).alias("gap"), F.lit(y).alias("y"))
+        found.append(rows.toPandas())
+    rows = pd.concat(found)
+    w = prior = np.array([-4.0, 2.0, -1.0])
+    if rows["y"].nunique() == 2:
+        x = np.column_stack([np.ones(len(rows)), rows["score"].to_numpy(float) / 10, rows["gap"].to_numpy(float) / 10])
+        y = rows["y"].to_numpy(float)
+        # Both kinds count alike, however rare one is.
+        share = np.where(y > 0, 0.5 / max(1, int(y.sum())), 0.5 / max(1, int((1 - y).sum()))) * min(len(y), 200)
+        for _ in range(25):  # Newton steps towards the prior's side of a small ridge
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            h = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(3)
-            w = w + np.linalg.solve(h, x.T @ (y - p) - 0.05 * w)
+            h = (x * (share * p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(3)
+            w = w + np.linalg.solve(h, x.T @ (share * (y - p)) - 0.5 * (w - prior))
     return float(w[0]), float(w[1]), float(w[2])
 
 
 def match(
     net: DataFrame, card: DataFrame, net_key: str, card_key: str, name: str = "full_name", emails: str = "emails", phones: str = "phones",
-    company: str = "company",
+    company: str = "company", threshold: float = 0.5,
 ) -> DataFrame:
-    """net key, card key, score, mutual (each is the other's nearest), confidence; of all pairs that pass the evidence check."""
-    pairs = cut(score_pairs(parse_records(net, net_key, name, emails, phones, company), parse_records(card, card_key, name, emails, phones, company)))
+    """net key, card key, score, mutual (each is the other's nearest), confidence; of all matching pairs.
+
+    A pair matches if it is nearest on both sides, or - as a person may stand twice on one side - on one side and sure
+    enough: its confidence, from score and gap, reaches ``threshold``. The exact check follows: agreeing names, and an
+    own mailbox, an own number or the employer."""
+    parsed = [parse_records(df, key, name, emails, phones, company) for df, key in ((net, net_key), (card, card_key))]
+    pairs = cut(score_pairs(*parsed))
     b0, b1, b2 = fit_confidence(pairs)
-    z = F.lit(b0) + F.lit(b1) * F.col("score") / 10 + F.lit(b2) * F.col("gap") / 10
-    seen = pairs.where("named and (proof or employer)")
-    # An initial stands for a person only next to a proof, or if its employer knows nobody else it may mean.
+    z = F.lit(b0) + F.lit(b1) * F.col("score") / 10 + F.lit(b2) * (F.col("gap_a") + F.col("gap_b")) / 10
+    nearest_a, nearest_b = F.col("gap_a") <= 1e-9, F.col("gap_b") <= 1e-9
+    judged = pairs.withColumns({"confidence": 1 / (1 + F.exp(-z)), "mutual": nearest_a & nearest_b})
+    seen = judged.where(~F.col("probe") & (nearest_a | nearest_b) & (F.col("confidence") >= threshold) & F.col("named") & (F.col("proof") | F.col("employer")))
+    # An initial stands for a person only next to a proof, or where it is nearest to nobody else.
     unsure = seen.where("not full and not proof")
     count_a, count_b = unsure.groupBy("a").agg(F.count("*").alias("na")), unsure.groupBy("b").agg(F.count("*").alias("nb"))
     seen = seen.join(count_a, "a", "left").join(count_b, "b", "left")
-    kept = seen.where("full or proof or (na = 1 and nb = 1)")
+    kept = seen.where("full or proof or (mutual and na = 1 and nb = 1)")
     return kept.select(
-        F.col("a").alias(net_key), F.col("b").alias(card_key), F.round("score", 4).alias("score"), (F.col("gap") <= 1e-9).alias("mutual"),
-        F.round(1 / (1 + F.exp(-z)), 4).alias("confidence"),
-    )
+        F.col("a").alias(net_key), F.col("b").alias(card_key), F.round("score", 4).alias("score"), "mutual", F.round("confidence", 4).alias("confidence")
+    )

@@ -139,3 +139,47 @@ def test_cross_sources(spark):
     assert {(r["net_id"], r["card_id"]) for r in out} == {(1, 101), (2, 102), (6, 106)}
     assert all(0 <= r["confidence"] <= 1 for r in out)
     assert crossmatch.match(n.limit(0), c, "net_id", "card_id").count() == 0
+
+
+def test_cross_sources_retrieve_slips_and_reject_rivals(spark):
+    base = [(i, f"Person{chr(97 + i % 20)}x Family{chr(97 + i % 17)}y", f"own{i}@x.example", "", f"Firm {i % 5}") for i in range(40)]
+    net = base + [(100, "Henry Plvibach", "", "", "Noxxia Brewing"), (101, "Mo Varu", "", "2005550100", ""), (102, "A. Tern", "", "", "Acme"), (103, "Ida Holm", "one@x.example", "", "")]
+    card = [(k + 1000, n, m, p, c) for k, n, m, p, c in base] + [
+        (2100, "Henry Pelvibach", "", "", "Noxxia Brewing"), (2101, "Mo Varu", "", "2005550100", ""), (2102, "Mo Varu", "", "200 555 0100", "Else"),  # twice on one side
+        (2103, "Anna Tern", "", "", "Acme"), (2104, "Adam Tern", "", "", "Acme"),  # an initial that may mean either
+        (2105, "Ida Holm", "two@x.example", "", ""),
+    ]
+    cols = "full_name string, emails string, phones string, company string"
+    n, c = spark.createDataFrame(net, f"net_id long, {cols}"), spark.createDataFrame(card, f"card_id long, {cols}")
+    got = {(r["net_id"], r["card_id"]) for r in crossmatch.match(n, c, "net_id", "card_id").collect()}
+    assert got == {(i, i + 1000) for i in range(40)} | {(100, 2100), (101, 2101), (101, 2102)}
+
+
+def test_retrieval_is_exact_above_the_bound(spark):
+    """Every pair of the full cross product whose score exceeds the query's bound is retrieved."""
+    import random
+
+    rng = random.Random(9)
+    firsts, lasts, firms = ["ann", "bob", "carl", "dora"], ["lee", "poe", "rolk"], ["acme", "helm", ""]
+
+    def rows(n):
+        out = []
+        for i in range(n):
+            mails = f"m{rng.randrange(12)}@x.example" if rng.random() < 0.5 else ""
+            out.append((i, f"{rng.choice(firsts)} {rng.choice(lasts)}", mails, "", rng.choice(firms)))
+        return spark.createDataFrame(out, "id long, n string, m string, p string, c string")
+
+    parsed = [crossmatch.parse_records(rows(30), "id", "n", "m", "p", "c") for _ in range(2)]
+    both = parsed[0].withColumn("side", F.lit("a")).unionByName(parsed[1].withColumn("side", F.lit("b")))
+    both = both.withColumn("initial", F.when(F.col("root") != "", F.substring("root", 1, 1)).otherwise(F.substring("first", 1, 1)))
+    both = crossmatch.index(crossmatch.with_terms(both)).cache()
+    left, right = both.where("side = 'a'"), both.where("side = 'b'")
+    found = {(r["a"], r["b"]) for r in crossmatch.retrieve(left, right).collect()}
+    cards = {r["id"]: {t["term"] for t in r["weights"]} for r in right.collect()}
+    wanted = set()
+    for r in left.collect():
+        singles = sorted((t["w"] for t in r["weights"] if not t["essential"]), reverse=True)
+        for k, terms in cards.items():
+            if sum(t["w"] for t in r["weights"] if t["term"] in terms) > sum(singles[:2]) + 1e-9:
+                wanted.add((r["id"], k))
+    assert wanted and wanted <= found
