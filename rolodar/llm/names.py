@@ -53,7 +53,10 @@ def parse(full: str | None, first: str | None = None, nickname: str | None = Non
     body = plain(_NICK.sub(" ", raw))
     reversed_ = re.match(r"\s*([^,;]+?)\s*[,;]\s*([^,;]+?)\s*(?:[,;](.*))?$", body)
     if reversed_ and reversed_.group(2).strip(" .") not in _SUFFIX and reversed_.group(2).strip(" .") not in _CREDENTIALS:
-        body = f"{reversed_.group(2)} {reversed_.group(1)} {reversed_.group(3) or ''}"
+        given = reversed_.group(2).split()
+        # "Family, Given Jr": what follows the given name belongs behind the whole name.
+        after = [given.pop()] if len(given) > 1 and given[-1].strip(".") in _SUFFIX.keys() | _CREDENTIALS else []
+        body = " ".join([*given, reversed_.group(1), *after, reversed_.group(3) or ""])
     words: list[str] = []
     initials: list[str] = []
     suffix = ""
@@ -162,13 +165,19 @@ for _name in ROOTS:
             _NEAR.setdefault(_d, set()).add(_name)
 
 
+@lru_cache(maxsize=50_000)
+def near_names(word: str) -> frozenset[str]:
+    """Known names that a given name may be a slip of; none if it is known itself."""
+    if word in ROOTS or len(word) < 4:
+        return frozenset()
+    return frozenset(n for d in _drops(word) for n in _NEAR.get(d, ()) if one_slip(word, n))
+
+
 @lru_cache(maxsize=50_000)
 def slip_roots(word: str) -> frozenset[str]:
     """Roots of a given name, also of one typed with a slip; the word itself if it is near no known name."""
-    if word in ROOTS or len(word) < 4:
-        return roots(word)
-    near = {n for d in _drops(word) for n in _NEAR.get(d, ()) if one_slip(word, n)}
-    return frozenset().union(*(ROOTS[n] for n in near)) if near else frozenset((word,))
+    near = near_names(word)
+    return frozenset().union(*(ROOTS[n] for n in near)) if near else roots(word)
 
 
 def nickname_equal(a: str, b: str) -> bool:

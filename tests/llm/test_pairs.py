@@ -116,6 +116,23 @@ def test_people(spark):
     assert paired(spark, []) == set()
 
 
+def test_people_find_the_same_links_in_many_books(spark):
+    """Slips that become frequent only because there are more books stay slips."""
+    book = [("Henry Rolkowick", "Henry"), ("Henru Rolkowick", "Henru"), ("Hank Rolkowick", ""), ("Susan Pelmoski", ""), ("Susam Pelmoski", ""), ("Pelmoski, Sue Jr", ""), ("SUSAN PELMOSKI JR.", "")]
+    few = [(b, f, g, "") for b in range(2) for f, g in book]
+    many = [(b, f, g, "") for b in range(60) for f, g in book]
+    for rows in (few, many):
+        # Common names are common in proportion.
+        rows = rows + [(1000 + i, f"{n} Otherman", n, "") for n in ("Henry", "Susan") for i in range(25 * len(rows) // 7)]
+        got = {(a, b) for a, b in paired(spark, rows) if a < 14}
+        assert got == {(x + d, y + d) for d in (0, 7) for x, y in ((0, 1), (0, 2), (1, 2), (3, 4), (5, 6))}
+
+
+def test_too_frequent_for_a_slip():
+    assert not people.too_frequent(1, 1) and not people.too_frequent(5, 100) and not people.too_frequent(50, 1000)
+    assert people.too_frequent(30, 100) and people.too_frequent(300, 1000)
+
+
 @pytest.mark.parametrize(("a", "b", "near"), [("rebecca", "rebbecca", True), ("harold", "harokd", True), ("katarzyna", "katrazyna", True), ("anna", "hanna", True), ("bob", "rob", True), ("daniel", "danielle", False)])
 def test_one_slip(a, b, near):
     assert names.one_slip(a, b) is near and names.one_slip(b, a) is near
