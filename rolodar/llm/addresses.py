@@ -2,21 +2,21 @@
 
 1. ``places.parse`` brings every row into parts, wherever they stand (one Arrow pass); equal parts fold into classes, so
    a place with very many rows costs one class per spelling from there on.
-2. Deletion-neighbourhood index: spellings that share a string with one letter deleted are one slip apart. A rare
-   spelling takes over its well-established neighbour - for city names and street names over the corpus, then for
-   street names inside blocks of locality, number, direction and unit, where a neighbour need not be established as
-   long as one of the two is rare in the whole corpus (two established names stay two streets).
-3. Component assignment: missing parts are filled with the one value that the evidence allows. A missing city is the
-   city of its postal code, so codes and neighbouring codes of one city form one locality; a missing street type is the
-   type of its block, if that has only one. House and box number, direction, type, unit and city are hard vetoes: they
-   are part of the location's key, and so no pairs are formed before the last step.
-
-Shuffles are keyed by spelling or by block; the index holds spellings, not rows. Pairs come from one self join on the
-location.
+2. Blocks: a missing city is the city of its postal code, so codes and neighbouring codes of one city form one locality;
+   city names with a slip take over their well-established neighbour. A block is a locality with house and box number,
+   direction and unit - the hard vetoes, none of which is ever compared.
+3. Deletion-neighbourhood index inside the blocks that hold several streets: spellings that share a string with up to
+   two letters deleted are met, be it of the words as they stand or in order of the alphabet.
+4. Optimal component assignment decides such pairs: the least total distance over all assignments of one street's words
+   to the other's. Two names that are both too frequent in the corpus for slips of each other stay two streets.
+   Connected components of the accepted pairs are the streets of a block; a missing street type is its only one.
+
+Shuffles are keyed by spelling or by block; the index holds spellings of crowded blocks, not rows. Pairs come from one
+self join on the location.
 
 Defined results: nulls and blanks are missing parts; rows with neither a house number with street nor a box number are
 no location; a mistyped postal code does not matter where the city is given; identical rows pair; ties between two
-neighbours leave a spelling as it is; extra columns are ignored; empty tables give no rows.
+neighbours leave a city's spelling as it is; extra columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -26,12 +26,17 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rolodar.llm import places
+from rolodar.operators.graph import connected_components
 from rolodar.runtime import cut
 
 PARTS = ["street", "city", "state", "postal_code", "po_box", "extended_address"]
 _FIELDS = list(places.Place._fields)
+_KEYS = [f for f in _FIELDS if f != "words"]
+#: A slip of a street's name is at most this share of the name's own number.
+SLIPS = 1 / 20
 
 
 def parse_parts(df: DataFrame, key: str) -> DataFrame:
@@ -58,45 +63,61 @@ def deletions(text: Column) -> Column:
     return F.when(F.length(text) >= 4, F.array_distinct(F.array_append(cut_out, text))).otherwise(F.array(text))
 
 
-def established(spellings: DataFrame, value: str, block: list[str] | None = None, ratio: int = 5, guard: str | None = None) -> DataFrame:
+def established(spellings: DataFrame, value: str, block: list[str] | None = None, ratio: int = 5) -> DataFrame:
     """[block,] value, canon: the established neighbour that a rare spelling takes over, where there is exactly one
-    best. ``spellings`` holds each value (per block) once, with its number ``n``. With ``guard`` (a column with the
-    corpus-wide number) a neighbour need only be more frequent, if the rarer spelling is rare in the corpus."""
+    best. ``spellings`` holds each value (per block) once, with its number ``n``."""
     block = block or []
     rows = spellings.where(F.length(value) > 0)
-    variants = rows.select(*block, F.col(value).alias("v"), "n", *([guard] if guard else []), F.explode(deletions(F.col(value))).alias("d"))
+    variants = rows.select(*block, F.col(value).alias("v"), "n", F.explode(deletions(F.col(value))).alias("d"))
     left, right = variants.alias("l"), variants.alias("r")
-    on = (F.col("l.d") == F.col("r.d")) & (F.col("l.v") != F.col("r.v"))
+    on = (F.col("l.d") == F.col("r.d")) & (F.col("l.v") != F.col("r.v")) & (F.col("r.n") >= ratio * F.col("l.n"))
     for b in block:
         on = on & (F.col(f"l.{b}") == F.col(f"r.{b}"))
-    if guard:
-        on = on & (F.col(f"r.{guard}") >= ratio * F.col(f"l.{guard}"))
-        rank = F.col(f"r.{guard}")
-    else:
-        on = on & (F.col("r.n") >= ratio * F.col("l.n"))
-        rank = F.col("r.n")
-    near = left.join(right, on).select(*[F.col(f"l.{b}").alias(b) for b in block], F.col("l.v").alias("v"), F.col("r.v").alias("c"), rank.alias("m")).distinct()
+    near = left.join(right, on).select(*[F.col(f"l.{b}").alias(b) for b in block], F.col("l.v").alias("v"), F.col("r.v").alias("c"), F.col("r.n").alias("m")).distinct()
     best = near.groupBy(*block, "v").agg(F.max(F.struct("m", "c")).alias("top"), F.collect_list("m").alias("ms"))
     clear = F.size(F.filter(F.col("ms"), lambda x: x * 2 > F.col("top.m"))) == 1
     return best.where(clear).select(*block, F.col("v").alias(value), F.col("top.c").alias("canon"))
 
 
-def _apply(df: DataFrame, canon: DataFrame, value: str, block: list[str] | None = None) -> DataFrame:
-    out = df.join(canon, [*(block or []), value], "left")
+def _apply(df: DataFrame, canon: DataFrame, value: str) -> DataFrame:
+    out = df.join(canon, value, "left")
     return out.withColumn(value, F.coalesce("canon", value)).drop("canon")
 
 
+@F.pandas_udf(T.IntegerType())
+def _assigned(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([places.assignment(x.split(" "), y.split(" "), 2) for x, y in zip(a, b, strict=True)], dtype="int32")
+
+
+def streets(in_block: DataFrame, corpus: DataFrame) -> DataFrame:
+    """street, canon: the spellings of crowded blocks (``street`` names block and line) that are one street with others,
+    with the one that stands for all. ``in_block``: street, place, line, words, n; ``corpus``: line, n_corpus."""
+    crowded = in_block.groupBy("place").agg(F.count("*").alias("k")).where("k > 1").select("place")
+    rows = cut(in_block.where("line <> ''").join(crowded, "place").join(corpus, "line"))
+    ordered = F.array_join(F.array_sort(F.split("words", " ")), "")
+    once = F.flatten(F.transform(F.array_distinct(F.array("line", ordered)), deletions))
+    keys = F.array_distinct(F.transform(F.flatten(F.transform(once, deletions)), lambda d: F.xxhash64(d)))
+    posted = rows.select("place", "street", F.explode(keys).alias("d"))
+    left, right = posted.select("place", "d", F.col("street").alias("s1")), posted.select("place", "d", F.col("street").alias("s2"))
+    met = left.join(right, ["place", "d"]).where("s1 < s2").select("s1", "s2").distinct()
+    side = lambda i: rows.select(F.col("street").alias(f"s{i}"), F.col("words").alias(f"w{i}"), F.col("line").alias(f"l{i}"), F.col("n_corpus").alias(f"n{i}"))
+    met = met.join(side(1), "s1").join(side(2), "s2")
+    low, high = F.least("n1", "n2"), F.greatest("n1", "n2")
+    two_names = low - 2 * F.sqrt(low) > SLIPS * high
+    most = F.when(F.least(F.length("l1"), F.length("l2")) >= 8, 2).otherwise(1)
+    same = met.where(~two_names).withColumn("cost", _assigned("w1", "w2")).where(F.col("cost") <= most)
+    return connected_components(same, "s1", "s2").toDF("street", "canon")
+
+
 def locate(df: DataFrame, key: str) -> DataFrame:
     """key, location: rows of one location share the value."""
-    rows = cut(parse_parts(df, key))
-    rows = rows.where(((F.col("number") != "") & (F.col("line") != "")) | (F.col("box") != ""))
-    same = F.sha2(F.concat_ws("\u001f", *_FIELDS), 256)
-    classes = rows.groupBy(*_FIELDS).agg(F.count("*").alias("n")).withColumn("class", same)
+    same = F.md5(F.concat_ws("\u001f", *_KEYS))
+    rows = parse_parts(df, key).where(((F.col("number") != "") & (F.col("line") != "")) | (F.col("box") != ""))
+    rows = cut(rows.withColumn("class", same))
     # Cut wherever a frame is used more than once: plans stay small, and nothing is computed twice.
-    classes = cut(classes)
-    for part in ("city", "line"):
-        spellings = cut(classes.groupBy(part).agg(F.sum("n").alias("n")))
-        classes = cut(_apply(classes, established(spellings, part), part))
+    classes = cut(rows.groupBy("class", *_KEYS).agg(F.count("*").alias("n"), F.max("words").alias("words")))
+    cities = cut(classes.groupBy("city").agg(F.sum("n").alias("n")))
+    classes = cut(_apply(classes, established(cities, "city"), "city"))
 
     # City and state of every postal code, and state of every city, by majority.
     def majority(by: str, of: str) -> DataFrame:
@@ -107,23 +128,22 @@ def locate(df: DataFrame, key: str) -> DataFrame:
     full = full.withColumn("city", F.when(F.col("city") != "", F.col("city")).otherwise(F.coalesce("zip_city", F.concat(F.lit("zip "), "zip"))))
     full = full.join(majority("city", "state"), "city", "left")
     state = F.when(F.col("state") != "", F.col("state")).otherwise(F.coalesce("city_state", "zip_state", F.lit("")))
-    block = ["locality", "number", "direction", "unit", "box"]
-    full = full.withColumn("locality", F.concat_ws("|", "city", state)).select("class", *block, "line", "kind", "n")
-    full = cut(full)
+    place = F.md5(F.concat_ws("\u001f", "city", state, "number", "direction", "unit", "box"))
+    full = full.select("class", place.alias("place"), "line", "words", "kind", "n")
+    full = cut(full.withColumn("street", F.md5(F.concat_ws("\u001f", "place", "line"))))
 
     # Slips of street names inside a block; how common a name is in the corpus guards streets with similar names.
     corpus = full.groupBy("line").agg(F.sum("n").alias("n_corpus"))
-    in_block = cut(full.groupBy(*block, "line").agg(F.sum("n").alias("n")))
-    crowded = in_block.groupBy(*block).agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    fixes = established(cut(in_block.join(crowded, block).join(corpus, "line")), "line", block, guard="n_corpus")
-    full = cut(_apply(full, fixes, "line", block))
-
-    # A missing type is the block's only one.
-    kinds = full.where("kind <> ''").groupBy(*block, "line").agg(F.min("kind").alias("k1"), F.max("kind").alias("k2"))
-    full = full.join(kinds, [*block, "line"], "left")
+    in_block = full.groupBy("street", "place", "line").agg(F.sum("n").alias("n"), F.max("words").alias("words"))
+    fixes = streets(in_block, corpus)
+    full = cut(full.select("class", "street", "kind").join(fixes, "street", "left").select("class", F.coalesce("canon", "street").alias("street"), "kind"))
+
+    # A missing type is the street's only one.
+    kinds = full.where("kind <> ''").groupBy("street").agg(F.min("kind").alias("k1"), F.max("kind").alias("k2"))
+    full = full.join(kinds, "street", "left")
     kind = F.when((F.col("kind") == "") & (F.col("k1") == F.col("k2")), F.col("k1")).otherwise(F.col("kind"))
-    located = full.select("class", F.sha2(F.concat_ws("\u001f", *block, "line", kind), 256).alias("location"))
-    return rows.select(key, same.alias("class")).join(located, "class").select(key, "location")
+    located = full.select("class", F.md5(F.concat_ws("\u001f", "street", kind)).alias("location"))
+    return rows.select(key, "class").join(located, "class").select(key, "location")
 
 
 def pairs(members: DataFrame, key: str, group: str) -> DataFrame:

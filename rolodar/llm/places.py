@@ -41,7 +41,7 @@ _COUNTRY_END = re.compile(r"[\s,]+(?:u\.?s\.?a?\.?|united states(?: of america)?
 
 
 class Place(NamedTuple):
-    """One address in parts; '' where a part is missing. ``line`` is the street's name without blanks."""
+    """One address in parts; '' where a part is missing. ``line`` is the street's name without blanks, ``words`` with."""
 
     number: str
     direction: str
@@ -52,6 +52,7 @@ class Place(NamedTuple):
     city: str
     state: str
     zip: str
+    words: str = ""
 
 
 def state_code(text: str) -> str:
@@ -143,5 +144,44 @@ def parse(street: str | None, city: str | None, state: str | None, postal: str |
         direction, words = DIRECTIONS[words[-1]], words[:-1]
     if len(words) > 1 and words[-1] in TYPE_OF:
         kind, words = TYPE_OF[words[-1]], words[:-1]
-    line = "".join(words).replace("'", "")
-    return Place(number.lstrip("0"), direction, line, kind, unit, box, city_key(c), code, z)
+    words = [w.replace("'", "") for w in words]
+    return Place(number.lstrip("0"), direction, "".join(words), kind, unit, box, city_key(c), code, z, " ".join(words))
+
+
+def distance(a: str, b: str, most: int) -> int:
+    """Letters inserted, dropped, changed or swapped with their neighbour between two words; ``most`` + 1 if more."""
+    if a == b:
+        return 0
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    before, last = None, list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+            if before is not None and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, before[j - 2] + 1)
+            row.append(best)
+        if min(row) > most:
+            return most + 1
+        before, last = last, row
+    return min(last[-1], most + 1)
+
+
+def assignment(a: list[str], b: list[str], most: int) -> int:
+    """Least total distance of two streets' words, each assigned to one of the other's whatever their order; words
+    without a partner cost all their letters. Exact, by dynamic programming over the sets of assigned words."""
+    if len(a) > len(b):
+        a, b = b, a
+    best = {0: 0}
+    for x in a:
+        after: dict[int, int] = {}
+        for used, cost in best.items():
+            for j, y in enumerate(b):
+                if not used >> j & 1:
+                    c = cost + distance(x, y, most)
+                    if c <= most and c < after.get(used | 1 << j, most + 1):
+                        after[used | 1 << j] = c
+        best = after
+    free = {used: cost + sum(len(y) for j, y in enumerate(b) if not used >> j & 1) for used, cost in best.items()}
+    return min([*free.values(), distance("".join(a), "".join(b), most), most + 1])

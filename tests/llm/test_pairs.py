@@ -86,6 +86,39 @@ def test_addresses(spark):
     assert located(spark, []) == set()
 
 
+def test_assignment_against_brute_force():
+    import random
+
+    rng = random.Random(8)
+
+    def plain_distance(a, b):
+        d = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i * j}
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+        return d[len(a), len(b)]
+
+    for _ in range(400):
+        a, b = (["".join(rng.choice("ab") for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(1, 4))] for _ in range(2))
+        if len(a) > len(b):
+            a, b = b, a
+        whole = plain_distance("".join(a), "".join(b))
+        want = min([sum(plain_distance(x, y) for x, y in zip(a, p)) + sum(map(len, b)) - sum(len(y) for y in p) for p in itertools.permutations(b, len(a))] + [whole])
+        assert places.assignment(a, b, 2) == min(want, 3)
+
+
+def test_streets_of_one_block(spark):
+    rows = [
+        ("7 Hill Oakton Street", "Springfield", "IL", "62701", "", ""), ("7 Oakton Hill St", "Springfield", "IL", "62701", "", ""),  # words in another order
+        ("9 Pebblekorland Ave", "Springfield", "IL", "62701", "", ""), ("9 Pebbleorlaand Ave", "Springfield", "IL", "62701", "", ""),  # two slips of a third
+        ("9 Maple Ave", "Springfield", "IL", "62701", "", ""), ("8 Pebblekorland Ave", "Springfield", "IL", "62701", "", ""),
+    ] + [(f"{n} {s} Road", "Springfield", "IL", "62701", "", "") for n in range(20, 40) for s in ("Northfall Mill", "Northfell Mill")]
+    # Two frequent names, however close, are two streets.
+    assert located(spark, rows) == {(0, 1), (2, 3)}
+
+
 def test_places_hostile():
     for s in (None, "", "\x00", "," * 5000, "1" * 3000, "é́🙂 Street", "Box"):
         assert isinstance(places.parse(s, s, s, s, s, s), places.Place)
