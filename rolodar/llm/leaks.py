@@ -8,8 +8,9 @@ document and an item that are covered far enough for any passage within the rule
 if its whole stretch is edited too much, to an exact search of all passages; they decide whether the document repeats
 at least ``min_words`` successive words of the item with few enough of them changed, dropped or added.
 
-A document lies in one row, so nothing is shuffled; the test items are broadcast, and ``leaks`` refuses more of them
-than ``max_items``. Work grows with the corpus, memory with the stretch.
+A document lies in one row, so nothing is shuffled; the test items are broadcast, at most ``max_items`` at a time, and
+more of them take further passes over the corpus. Work grows with the corpus, memory with the stretch: the matches of
+n-grams that are frequent in both are expanded for some items, or some documents, at a time.
 
 Defined results: null and empty texts leak nothing; case, punctuation, line layout, accents, invisible and look-alike
 characters do not matter; hyphenated parts count as one word; each document and item once; repeated document rows give
@@ -24,10 +25,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rolodar.llm.plaintext import words, words_with_groups
 
 STRETCH_WORDS = 3_000_000
+#: Matches that are expanded at a time.
+MOST_HITS = 8_000_000
 
 
 @dataclass
@@ -104,20 +108,26 @@ def _bound(tokens: np.ndarray, sa: np.ndarray, query: np.ndarray, at: np.ndarray
         hi = np.where(open_ & ~right, mid, hi)
 
 
-def matches(tokens: np.ndarray, items: Items, seed: int, depth: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (shard position, item position) where at least ``seed`` words agree."""
-    sa = suffix_array(tokens, depth)
-    none = np.zeros(0, dtype=np.int64)
+def intervals(tokens: np.ndarray, items: Items, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The suffix array, and for every item position with ``seed`` words its interval there (positions, from, to)."""
+    sa = suffix_array(tokens, seed)
     at = np.flatnonzero(items.tokens > 0)
     at = at[run_ends(items.tokens)[at] - at >= seed]
     if not len(sa) or not len(at):
-        return none, none
+        none = np.zeros(0, dtype=np.int64)
+        return sa, none, none, none
     lo = _bound(tokens, sa, items.tokens, at, seed, upper=False)
     hi = _bound(tokens, sa, items.tokens, at, seed, upper=True)
+    met = hi > lo
+    return sa, at[met], lo[met], hi[met]
+
+
+def expand(sa: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (shard position, item position) of intervals."""
     size = hi - lo
     which = np.repeat(np.arange(len(at)), size)
     ends = np.cumsum(size)
-    spot = np.arange(int(ends[-1])) - np.repeat(ends - size, size) + np.repeat(lo, size)
+    spot = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size) + np.repeat(lo, size)
     return sa[spot], at[which]
 
 
@@ -201,11 +211,12 @@ class Rule:
 
 def shard_leaks(keys: list, texts: list[str | None], items: Items, rule: Rule) -> list[tuple]:
     """(key, item id, words, agreeing words, longest verbatim match, document word) of every leak in a shard."""
-    seed, min_cover = rule.seed, rule.min_cover
-    doc_tokens: list[np.ndarray] = []
     get = items.vocabulary.get
-    for text in texts:
-        doc_tokens.append(np.array([get(w, 0) for w in words(text)], dtype=np.int64))
+    return token_leaks(keys, [np.array([get(w, 0) for w in words(text)], dtype=np.int64) for text in texts], items, rule)
+
+
+def token_leaks(keys: list, doc_tokens: list[np.ndarray], items: Items, rule: Rule) -> list[tuple]:
+    seed = rule.seed
     lengths = np.array([len(t) + 1 for t in doc_tokens], dtype=np.int64)
     starts = np.concatenate(([0], np.cumsum(lengths)))
     flat = np.zeros(int(starts[-1]) + 1, dtype=np.int64)
@@ -215,41 +226,71 @@ def shard_leaks(keys: list, texts: list[str | None], items: Items, rule: Rule) -
     ends = run_ends(flat)
     begins = np.maximum.accumulate(np.where(flat == 0, np.arange(len(flat)), -1)) + 1
     kept = np.where(ends - begins >= seed, flat, 0)
-    spot, at = matches(kept, items, seed)
-    if not len(spot):
+    sa, at, lo, hi = intervals(kept, items, seed)
+    if not len(at):
         return []
+    owner = items.item_of[at]
+    per_item = np.bincount(owner, weights=hi - lo, minlength=len(items.ids))
+    if per_item.max() > MOST_HITS and len(keys) > 1:
+        # Too many matches of one item: in two parts, each of whole documents.
+        half = len(keys) // 2
+        return token_leaks(keys[:half], doc_tokens[:half], items, rule) + token_leaks(keys[half:], doc_tokens[half:], items, rule)
+    out = []
+    part = (np.cumsum(per_item) // MOST_HITS).astype(np.int64)[owner]
+    for p in np.unique(part):
+        mine = part == p
+        out += _judge(keys, flat, starts, *expand(sa, at[mine], lo[mine], hi[mine]), items, rule)
+    return out
+
+
+def windows(diagonals: np.ndarray, slack: int) -> list[tuple[int, int]]:
+    """Ranges of sorted diagonals, each at most twice ``slack`` wide, such that any diagonals within ``slack`` of each
+    other stand together in one of them."""
+    out = []
+    for group in np.split(diagonals, np.flatnonzero(np.diff(diagonals) > slack) + 1):
+        first, last = int(group[0]), int(group[-1])
+        while last - first > 2 * slack:
+            out.append((first, first + 2 * slack))
+            first += max(1, slack)
+        out.append((first, last))
+    return out
+
+
+def _judge(keys: list, flat: np.ndarray, starts: np.ndarray, spot: np.ndarray, at: np.ndarray, items: Items, rule: Rule) -> list[tuple]:
+    """The leaks among matches (shard position, item position)."""
+    seed, min_cover = rule.seed, rule.min_cover
     doc = np.searchsorted(starts, spot, side="right") - 1
     item = items.item_of[at]
     order = np.lexsort((spot, at - spot, item, doc))
     spot, at, doc, item = spot[order], at[order], doc[order], item[order]
     pair = doc * len(items.ids) + item
     out = []
-    cuts = np.flatnonzero(np.diff(pair)) + 1
-    for p_spot, p_at in zip(np.split(spot, cuts), np.split(at, cuts), strict=True):
-        covered = np.unique((p_at[:, None] + np.arange(seed)).ravel())
-        if len(covered) < min_cover:
+    bounds = np.concatenate([[0], np.flatnonzero(np.diff(pair)) + 1, [len(pair)]])
+    # A pair with fewer matches than a passage within the rule has cannot hold one.
+    least = -(-min_cover // seed)
+    for k0, k1 in zip(bounds[:-1][np.diff(bounds) >= least], bounds[1:][np.diff(bounds) >= least], strict=True):
+        p_spot, p_at = spot[k0:k1], at[k0:k1]
+        if (k1 - k0) * seed < min_cover or len(np.unique((p_at[:, None] + np.arange(seed)).ravel())) < min_cover:
             continue
-        d = int(np.searchsorted(starts, p_spot[0], side="right") - 1)
-        k = int(items.item_of[p_at[0]])
+        d, k = int(doc[k0]), int(item[k0])
         a, b = int(items.starts[k]), int(items.starts[k + 1]) - 1
         best = None
         # The seeds of a passage lie on diagonals no further apart than it has edits.
         slack = int(rule.max_edits * (b - a))
         diagonal = p_spot - p_at
-        by_diagonal = np.argsort(diagonal, kind="stable")
-        breaks = np.flatnonzero(np.diff(diagonal[by_diagonal]) > slack) + 1
-        for group in np.split(by_diagonal, breaks):
-            if len(np.unique((p_at[group][:, None] + np.arange(seed)).ravel())) < min_cover:
+        for lowest, highest in windows(np.unique(diagonal), slack):
+            held = (diagonal >= lowest) & (diagonal <= highest)
+            if len(np.unique((p_at[held][:, None] + np.arange(seed)).ravel())) < min_cover:
                 continue
-            low = max(int(starts[d]), int(diagonal[group[0]]) + a - slack)
-            high = min(int(starts[d + 1]) - 1, int(diagonal[group[-1]]) + b + slack)
+            low = max(int(starts[d]), lowest + a - slack)
+            high = min(int(starts[d + 1]) - 1, highest + b + slack)
             i0, i1, same, j0, j1 = align(flat[low:high], items.tokens[a:b], rule.penalty)
             covered_words = len(set(items.groups[a + i0 : a + i1].tolist()))
             edits = max(i1 - i0, j1 - j0) - same
             if i1 <= i0 or covered_words < rule.min_words or edits > rule.max_edits * (i1 - i0):
                 # The best alignment may run on through an edited stretch; a part of it may do alone.
-                first = int(diagonal[group[0]]) + a - slack
-                band = np.full(int(diagonal[group[-1]]) + b + slack - first, -1, dtype=np.int64)
+                first = lowest + a - slack
+                band = np.full(highest + b + slack - first, -1, dtype=np.int64)
                 band[low - first : high - first] = flat[low:high]
                 part = repeated(band, items.tokens[a:b], items.groups[a:b], rule.min_words, rule.max_edits)
                 if part is None:
@@ -267,14 +308,29 @@ def shard_leaks(keys: list, texts: list[str | None], items: Items, rule: Rule) -
     return out
 
 
+def _passes(tests: DataFrame, test_key: str, test_text: str, max_items: int) -> Iterator[Items]:
+    """The test items, at most about ``max_items`` at a time."""
+    rows = tests.select(test_key, test_text).where(F.col(test_text).isNotNull()).distinct()
+    parts = max(1, -(-rows.count() // max_items))
+    for i in range(parts):
+        mine = rows if parts == 1 else rows.where(F.pmod(F.xxhash64(test_key), F.lit(parts)) == i)
+        yield Items.build(sorted((r[0], r[1]) for r in mine.collect()))
+
+
 def leaks(
     corpus: DataFrame, key: str, text: str, tests: DataFrame, test_key: str, test_text: str, rule: Rule = Rule(), max_items: int = 20_000
 ) -> DataFrame:
-    """key, item_id, n_words, n_same, longest_verbatim, at_word: one row per document and item leaked into it."""
-    rows = tests.select(test_key, test_text).where(f"{test_text} is not null").limit(max_items + 1).collect()
-    if len(rows) > max_items:
-        raise ValueError(f"more than {max_items} test items; split them")
-    shared = corpus.sparkSession.sparkContext.broadcast(Items.build(sorted({(r[0], r[1]) for r in rows})))
+    """key, item_id, n_words, n_same, longest_verbatim, at_word: one row per document and item leaked into it. Each
+    ``max_items`` test items take one pass over the corpus."""
+    out = None
+    for items in _passes(tests, test_key, test_text, max_items):
+        part = _leaks_of(corpus, key, text, items, dict(tests.dtypes)[test_key], rule)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _leaks_of(corpus: DataFrame, key: str, text: str, items: Items, item_kind: str, rule: Rule) -> DataFrame:
+    shared = corpus.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys: list = []
@@ -295,8 +351,8 @@ def leaks(
     def frame(found: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(found, columns=names)
 
-    kind, item_kind = dict(corpus.dtypes)[key], dict(tests.dtypes)[test_key]
-    return corpus.select(key, text).where(f"{text} is not null").mapInPandas(
+    kind = dict(corpus.dtypes)[key]
+    return corpus.select(key, text).where(F.col(text).isNotNull()).mapInPandas(
         run, f"`{key}` {kind}, item_id {item_kind}, n_words int, n_same int, longest_verbatim int, at_word int"
     )
 

@@ -127,6 +127,28 @@ def test_leaks(spark):
     assert leaks.leaks(df.limit(0), "doc_id", "text", tests, "item_id", "text").count() == 0
 
 
+def test_leaks_in_passes_and_parts(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [["as", "well", "as", "the", *passage(rng, 40)] for _ in range(6)]
+    docs = [" ".join(passage(rng, 30) + items[i % 6][: 20 + i] + ["as well as the"] * 20) for i in range(12)] + [" ".join(["as well as the"] * 3000)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    tests = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = {(i, i % 6) for i in range(12)}
+    assert {(r[0], r[1]) for r in leaks.leaks(df, "doc_id", "text", tests, "item_id", "text", max_items=2).collect()} == want
+    monkeypatch.setattr(leaks, "MOST_HITS", 50)
+    built = leaks.Items.build([(i, " ".join(t)) for i, t in enumerate(items)])
+    assert {(k, i) for k, i, *_ in leaks.shard_leaks(list(range(13)), docs, built, leaks.Rule())} == want
+
+
+def test_windows_hold_every_close_pair():
+    rng = random.Random(1)
+    for _ in range(100):
+        d = np.unique([rng.randrange(200) for _ in range(30)])
+        found = leaks.windows(d, 7)
+        assert all(b - a <= 14 for a, b in found)
+        assert all(any(a <= x and y <= b for a, b in found) for x in d for y in d if 0 <= y - x <= 7)
+
+
 def test_leaks_beside_edited_stretches(spark):
     item = [f"v{i}" for i in range(95)]
 
