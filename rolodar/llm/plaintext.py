@@ -17,19 +17,34 @@ _INVISIBLE = re.compile("[­͏؜ᅟ᠎​-‏‪-‮⁠-⁤︀-️﻿]")
 _LATIN = re.compile(r"[a-z]")
 
 
+class _Letters(dict):
+    """Plain letters of a character, found once."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        t = "" if _INVISIBLE.match(c) else unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", c).casefold())
+        self[code] = found = "".join(x for x in t if not unicodedata.combining(x)).translate(_OTHER)
+        return found
+
+
+_PLAIN = _Letters()
+_FOREIGN_WORD = re.compile(r"[^\W_]*[^\W_\x00-\x7f][^\W_]*")
+
+
 def plain(text: str) -> str:
     """Lower case, compatibility form, without accents and invisible characters; look-alikes in words that also hold
     Latin letters become Latin (pure Cyrillic or Greek words stay what they are)."""
     if text.isascii():
         return text.lower()
-    t = unicodedata.normalize("NFKC", _INVISIBLE.sub("", text)).casefold()
-    t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).translate(_OTHER)
+    t = text.translate(_PLAIN)
+    if t.isascii():
+        return t
 
     def word(m: re.Match) -> str:
         w = m.group()
-        return w if w.isascii() or not _LATIN.search(w) else w.translate(LOOKALIKES)
+        return w.translate(LOOKALIKES) if _LATIN.search(w) else w
 
-    return _WORD.sub(word, t)
+    return _FOREIGN_WORD.sub(word, t)
 
 
 def words(text: str | None) -> list[str]:
