@@ -24,7 +24,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         survivors.Bundle("company", ("company",), F.trim("company") != ""),
         survivors.Bundle("title", ("title",), F.trim("title") != ""),
     ]
-    out = survivors.winners(rows, "contact_id", "rec_id", "source", "utc_us", bundles)
+    # Every field is a bundle of its own, and none depends on another.
+    out = survivors.choose_bundles(rows, "contact_id", "rec_id", "source", "utc_us", bundles, [])
     return out.select("contact_id", F.col("bundle").alias("field_name"), "rec_id")
 
 

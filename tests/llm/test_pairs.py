@@ -53,6 +53,45 @@ def test_bundles_keep_untimed_rows_of_broken_groups(spark):
     assert got == {("g", "name"): 1, ("g", "url"): 1, ("g", "job"): 3, ("h", "name"): 4, ("h", "url"): 4, ("h", "job"): 5}
 
 
+def test_bundles_against_brute_force(spark):
+    """All choices of bundle values of small groups; the greatest sum of trust that breaks no dependency wins."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for g in range(25):
+        for i in range(rng.randrange(2, 6)):
+            pick = lambda p, n: rng.choice([f"{n}{k}" for k in range(3)]) if rng.random() < p else ""
+            rows.append((len(rows), f"g{g}", "gmail", rng.choice([None, *range(1_000_000, 90_000_000, 7_000_000)]), pick(0.8, "n"), pick(0.7, "u"), pick(0.6, "m")))
+    df = spark.createDataFrame(rows, "rec_id long, contact_id string, source string, at long, name string, url string, mail string")
+    bundles = [survivors.Bundle(n, (n,), F.col(n) != "") for n in ("name", "url", "mail")]
+    deps = [("url", "name"), ("mail", "url")]
+    got: dict = {}
+    for r in survivors.choose_bundles(df, "contact_id", "rec_id", "source", "at", bundles, deps).collect():
+        got.setdefault(r["contact_id"], {})[r["bundle"]] = r["rec_id"]
+    weights = {r["rec_id"]: r["w"] for r in df.select("rec_id", survivors.weight(F.col("at"), F.col("source")).alias("w")).collect()}
+    names_ = ["name", "url", "mail"]
+    for g in {r[1] for r in rows}:
+        mine = [r for r in rows if r[1] == g]
+        value = lambda r, n: r[4 + names_.index(n)]
+
+        def allowed(chosen):
+            for a, b in deps:
+                if a in chosen and b in chosen:
+                    left = [r for r in mine if value(r, a) == chosen[a] and value(r, b)]
+                    if left and not any(value(r, b) == chosen[b] for r in left):
+                        return False
+            return True
+
+        best = 0.0
+        for combo in itertools.product(*[[None, *{value(r, n) for r in mine if value(r, n)}] for n in names_]):
+            chosen = {n: v for n, v in zip(names_, combo) if v}
+            if allowed(chosen):
+                best = max(best, sum(max(weights[r[0]] for r in mine if value(r, n) == v) for n, v in chosen.items()))
+        found = {n: value(next(r for r in mine if r[0] == k), n) for n, k in got.get(g, {}).items()}
+        assert allowed(found) and abs(sum(weights[k] for k in got.get(g, {}).values()) - best) < 1e-6
+
+
 P = ["street", "city", "state", "postal_code", "po_box", "extended_address"]
 
 
