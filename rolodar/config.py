@@ -44,7 +44,7 @@ class Quality:
 class Tagging:
     prior_companies: tuple[str, ...] = ()
     prior_domains: tuple[str, ...] = ()
-    local_cities: tuple[str, ...] = ()
+    local_cities: tuple[str, ...] = tuple(fixed.LOCAL_CITIES)
     confidence_weight: float = 0.6
     tag_weights: tuple[tuple[str, int], ...] = (
         ("work_colleague", 30), ("local_south_shore", 25), ("martial_arts", 20), ("nutcracker_performance", 10),

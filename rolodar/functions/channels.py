@@ -6,10 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rolodar.functions import fixed
-from rolodar.functions.text import clean, label, lookup
-
-EMAIL_IN_TEXT = r"[A-Za-z0-9._%+\-']+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
-PHONE_RUN = r"\+?\d[\d\s()./-]{6,}\d"
+from rolodar.functions.text import clean, label, let, lookup
+
+#: A mailbox: a local part, and a domain of labels that ends in letters.
+EMAIL_IN_TEXT = r"[\w.%+'-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+#: Digits with what may stand between them; a number has at least ``PHONE_LENGTH`` characters of these.
+DIGIT_RUN = r"\+?\d(?:[\d\s()./-]*\d)?"
+PHONE_LENGTH = 8
+#: How an extension is announced, and the forms it takes behind a number: (pattern, group of number, group of digits).
+EXTENSION_WORD = r"(?i:extension|ext\.|ext|x)"
+EXTENSION_FORMS = [
+    (r"(?s)^(.*);\s*(\d{1,6})$", 1, 2),
+    (r"(?s)^(.*[^\s,;/])[\s,;/]*" + EXTENSION_WORD + r"\s*(\d{1,6})$", 1, 2),
+    (r"(?s)^(.*\S)\s*[pP](\d{1,6})#$", 1, 2),
+]
 
 
 def normalize_email(c: Column, keep_local_case: bool = True) -> Column:
@@ -38,7 +48,7 @@ def local_part(c: Column) -> Column:
 def guess_first(local: Column) -> Column:
     """First name guessed from a mailbox name: its first part with a capital letter."""
     part = F.coalesce(F.get(F.filter(F.split(local, "[._-]+"), lambda p: p != ""), F.lit(0)), F.lit(""))
-    return F.concat(F.upper(F.substring(part, 1, 1)), F.lower(F.substring(part, 2, 100)))
+    return F.concat(F.upper(F.substring(part, 1, 1)), F.lower(F.substr(part, F.lit(2))))
 
 
 def initial_from_local(local: Column, last: Column) -> Column:
@@ -48,17 +58,21 @@ def initial_from_local(local: Column, last: Column) -> Column:
     return F.when((la != "") & F.endswith(lo, la) & extra.between(1, 2), F.upper(F.substring(lo, 1, 1))).otherwise("")
 
 
-def phone_e164(c: Column) -> Column:
-    """International form by digit count; text without digits stays as it is."""
+def phone_e164(c: Column, country: str = "US") -> Column:
+    """International form by digit count; text without digits stays as it is. Numbers without a country code get that of
+    ``country``; outside North America a leading 0 stands for it."""
+    code = fixed.CALLING_CODE.get(country.upper(), "1")
     raw = clean(c)
     d = F.regexp_replace(raw, r"\D", "")
     n = F.length(d)
+    local = d if code == "1" else F.regexp_replace(d, "^0", "")
+    own = (n == 11) & F.startswith(d, F.lit("1")) if code == "1" else F.startswith(d, F.lit(code)) & (n >= 10 + len(code) - 1) & ~F.startswith(d, F.lit("0"))
     return (
         F.when(n == 0, raw)
         .when(F.startswith(raw, F.lit("+")), F.concat(F.lit("+"), d))
-        .when((n == 11) & F.startswith(d, F.lit("1")), F.concat(F.lit("+"), d))
+        .when(own, F.concat(F.lit("+"), d))
         .when(n.between(12, 15), F.concat(F.lit("+"), d))
-        .otherwise(F.concat(F.lit("+1"), d))
+        .otherwise(F.concat(F.lit(f"+{code}"), local))
     )
 
 
@@ -66,20 +80,25 @@ def phone_valid(c: Column) -> Column:
     return F.startswith(c, F.lit("+")) & (F.length(F.regexp_replace(c, r"\D", "")) >= 11)
 
 
-_EXT = r"(?is)^(.+?)(?:[\s,;/]*(?:ext\.?|extension|x)\s*(\d{1,6})|p(\d{1,6})#)\s*$"
+def split_extension(c: Column) -> Column:
+    """struct(value, extension) of one written number: the first form that fits."""
 
+    def of_text(s: Column) -> Column:
+        out = None
+        for pattern, number, digits in EXTENSION_FORMS:
+            value = F.regexp_replace(F.regexp_extract(s, pattern, number), r"^[\s,;/]+|[\s,;/]+$", "")
+            found = F.struct(value.alias("value"), F.regexp_extract(s, pattern, digits).alias("extension"))
+            fits = F.rlike(s, F.lit(pattern))
+            out = F.when(fits, found) if out is None else out.when(fits, found)
+        return out.otherwise(F.struct(s.alias("value"), F.lit("").alias("extension")))
 
-def split_extension(c: Column) -> Column:
-    """struct(value, extension) of one written number."""
-    s = clean(c)
-    tail = F.regexp_extract(s, r";\s*(\d{1,6})\s*$", 1)
-    inline = F.concat(F.regexp_extract(s, _EXT, 2), F.regexp_extract(s, _EXT, 3))
-    number = F.regexp_replace(F.regexp_extract(s, _EXT, 1), r"^[ ,;/]+|[ ,;/]+$", "")
-    return (
-        F.when(tail != "", F.struct(F.trim(F.regexp_replace(s, r";[^;]*$", "")).alias("value"), tail.alias("extension")))
-        .when((inline != "") & (number != ""), F.struct(number.alias("value"), inline.alias("extension")))
-        .otherwise(F.struct(s.alias("value"), F.lit("").alias("extension")))
-    )
+    return let(clean(c), of_text)
+
+
+def numbers_in_text(c: Column) -> Column:
+    """The runs of digits in a text that are long enough for a phone number."""
+    runs = F.regexp_extract_all(c, F.lit(DIGIT_RUN), F.lit(0))
+    return F.filter(runs, lambda r: F.length(F.ltrim(r, F.lit("+"))) >= PHONE_LENGTH)
 
 
 def split_values(raw: Column) -> Column:
@@ -94,7 +113,7 @@ def phone_values(raw: Column) -> Column:
         parts = F.array(split_extension(seg))
 
         def runs(p: Column) -> Column:
-            found = F.regexp_extract_all(p["value"], F.lit(PHONE_RUN), F.lit(0))
+            found = numbers_in_text(p["value"])
             each = F.transform(
                 found, lambda m, i: F.struct(F.trim(m).alias("value"), F.when(i == F.size(found) - 1, p["extension"]).otherwise("").alias("extension"))
             )
@@ -103,7 +122,7 @@ def phone_values(raw: Column) -> Column:
         return F.flatten(F.transform(parts, runs))
 
     parts = F.filter(F.flatten(F.transform(split_values(raw), of_segment)), lambda p: p["value"] != "")
-    bare = r"(?i)^(?:ext\.?|extension|x)?\s*(\d{1,6})$"
+    bare = r"^(?:" + EXTENSION_WORD + r")?\s*(\d{1,6})$"
     empty = F.array().cast("array<struct<value:string,extension:string>>")
 
     def fold(acc: Column, p: Column) -> Column:
@@ -177,13 +196,13 @@ def normalize_emails(items: Column, keep_local_case: bool = True, drop_invalid:
     return good if drop_invalid else F.concat(good, bad)
 
 
-def normalize_phones(items: Column, drop_invalid: bool = False) -> Column:
+def normalize_phones(items: Column, drop_invalid: bool = False, country: str = "US") -> Column:
     """Numbers in international form once per number and extension; others follow as written, labelled invalid."""
     rows = F.filter(items, lambda x: clean(x["value"]) != "")
     tagged = F.transform(
         rows,
         lambda x: F.struct(
-            clean(x["value"]).alias("raw"), phone_e164(x["value"]).alias("value"), label(x["label"]).alias("label"), clean(x["extension"]).alias("extension")
+            clean(x["value"]).alias("raw"), phone_e164(x["value"], country).alias("value"), label(x["label"]).alias("label"), clean(x["extension"]).alias("extension")
         ),
     )
     phone = lambda v, b, e: F.struct(v.alias("value"), b.alias("label"), e.alias("extension"))

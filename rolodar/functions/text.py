@@ -20,9 +20,24 @@ def py_text_key(text: str | None) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def text_key(text: pd.Series) -> pd.Series:
-    """Comparison form: compatibility letters without accents, single blanks, lower case; null becomes ''."""
-    return text.map(py_text_key)
+def _foreign_key(text: pd.Series) -> pd.Series:
+    return text.map(py_text_key, na_action="ignore")
+
+
+def text_key(name: str | Column) -> Column:
+    """Comparison form: compatibility letters without accents, single blanks, lower case; null becomes ''. Only text
+    beyond ASCII leaves the JVM."""
+    c = F.col(name) if isinstance(name, str) else name
+    ascii_ = F.coalesce(F.rlike(c, F.lit(r"^\p{ASCII}*$")), F.lit(True))
+    foreign = _foreign_key(F.when(~ascii_, c))
+    return F.when(ascii_, F.lower(F.regexp_replace(clean(c), r"\s+", " "))).otherwise(foreign)
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once and written once, however often ``use`` mentions it.
+
+    Chained columns would be copied into each other by the optimizer (most of all when a filter moves below them)."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -45,20 +60,11 @@ def label(c: Column) -> Column:
     return F.lower(clean(c))
 
 
-def token(c: Column) -> Column:
-    """Lower-case letters and digits only."""
-    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]", "")
-
-
 def nickname_root(key: Column) -> Column:
     """Root of a name in comparison form."""
     return F.coalesce(lookup(fixed.NICKNAME_ROOT, key), key)
 
 
-def looks_like_initial(c: Column) -> Column:
-    return F.rlike(F.trim(c), F.lit(r"^(\p{L}\.|\p{Lu})$"))
-
-
 def uuid5(c: Column) -> Column:
     """Version-5 UUID of a text under the fixed namespace."""
     h = F.sha1(F.concat(F.unhex(F.lit(fixed.UUID_NAMESPACE)), F.encode(c, "UTF-8")))
@@ -69,10 +75,6 @@ def uuid5(c: Column) -> Column:
     )
 
 
-def percent(n: Column, d: Column) -> Column:
-    return F.coalesce(F.round(100 * n / F.nullif(d, F.lit(0)), 2), F.lit(0.0))
-
-
 def source_priority(source: Column) -> Column:
     out = F.lit(0)
     for name, rank in fixed.SOURCE_PRIORITY.items():

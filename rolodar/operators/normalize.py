@@ -26,7 +26,7 @@ def normalize(df: DataFrame, settings: Normalization = Normalization()) -> DataF
     local = channels.local_part(F.coalesce(F.get("emails", F.lit(0))["value"], F.lit("")))
     local_words = F.filter(F.split(local, "[._-]+"), lambda p: p != "")
     second = F.coalesce(F.get(local_words, F.lit(1)), F.lit(""))
-    cap = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 100)))
+    cap = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
     nothing = (F.col("__n.first") == "") & (F.col("__n.last") == "")
     rows = rows.withColumn("__g1", F.when(nothing, channels.guess_first(local)).otherwise("")).withColumn("__g2", F.when(nothing, cap(second)).otherwise(""))
     pick = lambda *cs: F.coalesce(*[F.nullif(c, F.lit("")) for c in cs], F.lit(""))
@@ -51,7 +51,7 @@ def normalize(df: DataFrame, settings: Normalization = Normalization()) -> DataF
     )
     rows = rows.withColumns({
         "emails": channels.normalize_emails(F.col("emails"), settings.keep_local_case, settings.drop_invalid_emails),
-        "phones": channels.normalize_phones(F.col("phones"), settings.drop_invalid_phones),
+        "phones": channels.normalize_phones(F.col("phones"), settings.drop_invalid_phones, settings.default_phone_country),
         "addresses": address.normalize_addresses(F.col("addresses")),
     })
     bad = lambda c: F.filter(F.col(c), lambda x: x["label"] == "invalid")

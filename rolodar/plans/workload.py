@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rolodar.functions import fixed
 from rolodar.runtime import table
 
-_GROUPS = [line.split(":")[0].split() + line.split(":")[1].split() for line in fixed.NICKNAMES.strip().splitlines()]
+_GROUPS = [[root, *variants] for root, variants in fixed.NICKNAMES.items()]
 # Roots whose variants lead back to them alone.
 _GROUPS = [g for g in _GROUPS if all(fixed.NICKNAME_ROOT[n] == g[0] for n in g[:3]) and len(g) >= 2]
 N = len(_GROUPS)
