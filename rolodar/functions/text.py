@@ -46,6 +46,18 @@ def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, (x or "").lower(), (y or "").lower()).ratio() for x, y in zip(a, b, strict=True)])
 
 
+@F.pandas_udf(T.DoubleType())
+def best_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Highest sequence ratio between the names of two lists; null where either list is null."""
+
+    def best(xs, ys) -> float | None:
+        if xs is None or ys is None:
+            return None
+        return max((SequenceMatcher(None, (x or "").lower(), (y or "").lower()).ratio() for x in xs for y in ys), default=1.0)
+
+    return pd.Series([best(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
 def lookup(table: dict[str, str], key: Column) -> Column:
     """Value of a small fixed table, null where there is none."""
     return F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from rolodar.functions import address, channels
 from rolodar.functions.text import clean, source_priority, uuid5
 from rolodar.operators import instants
+from rolodar.runtime import cut
 
 SURVIVING = [
     "prefix", "middle_name", "last_name", "maiden_name", "suffix", "suffix_professional", "nickname", "company", "title", "department", "linkedin_url",
@@ -83,7 +84,9 @@ def first_name_votes(members: DataFrame) -> DataFrame:
 
 def merge(normalized: DataFrame, clusters: DataFrame) -> DataFrame:
     """One contact per cluster, with id, channels, counts and the list of source keys."""
-    members = rank(normalized.join(clusters, "rec_idx"))
+    # Used four times: the instants are parsed once.
+    columns = ["rec_idx", "cluster_id", "source", "source_row_id", "first_name", "emails", "phones", "addresses", "invalid_emails", "non_standard_phones", *SURVIVING]
+    members = cut(rank(normalized.join(clusters, "rec_idx")).select(*columns, "ts_us", "rank"))
     values = members.groupBy("cluster_id").agg(
         *[survivor(c).alias(c) for c in SURVIVING],
         F.count("*").cast("int").alias("source_row_count"),

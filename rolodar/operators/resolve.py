@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rolodar.config import Dedupe
 from rolodar.functions import address
-from rolodar.functions.text import nickname_root, seq_ratio, text_key
+from rolodar.functions.text import best_ratio, nickname_root, text_key
 from rolodar.operators.graph import connected_components
 from rolodar.runtime import cut
 
@@ -70,12 +70,10 @@ def pair_signals(pairs: DataFrame, dedupe: Dedupe = Dedupe()) -> DataFrame:
     count = sum((F.col(c).cast("int") for c in ("email_overlap", "phone_overlap", "addr_overlap", "same_profile")), F.lit(0))
     out = out.withColumn("corroborators", count)
     cand = lambda s: F.when(F.col("both_named"), F.col(f"{s}.candidates")).otherwise(F.array(F.col(f"{s}.first_name")))
-    at = lambda arr, i: F.coalesce(F.get(arr, F.lit(i)), F.get(arr, F.lit(0)))
-    # At most two names a side. Equal names need no measuring.
-    ratios = [seq_ratio(at(cand("left"), i), at(cand("right"), j)) for i in (0, 1) for j in (0, 1)]
+    # At most two names a side. Equal names need no measuring, and null lists are not measured.
     sure = F.col("same_name") & F.col("both_named")
-    measured = out.where(~sure).withColumn("sim", F.greatest(*ratios))
-    out = out.where(sure).withColumn("sim", F.lit(1.0)).unionByName(measured)
+    measured = best_ratio(F.when(~sure, cand("left")), F.when(~sure, cand("right")))
+    out = out.withColumn("sim", F.coalesce(F.when(sure, F.lit(1.0)), measured))
     lifted = F.when(F.col("both_named") & F.col("nick_equal"), F.greatest(F.col("sim"), F.lit(0.96))).otherwise(F.col("sim"))
     out = out.withColumn("first_similarity", lifted).drop("sim")
     i = lambda c: F.col(c).cast("double")

@@ -28,8 +28,9 @@ class Result:
 
 def unify(records: DataFrame, config: cfg.Config = cfg.Config(), deliverability: DataFrame | None = None) -> Result:
     """Contacts, lineage and views of contact records (any frame with the contact columns and ``rec_idx``)."""
-    normalized = cut(normalize(records, config.normalization))
-    keyed = cut(resolve.with_keys(normalized))
+    plain = normalize(records, config.normalization)
+    keyed = cut(resolve.with_keys(plain))
+    normalized = keyed.select(*plain.columns)
     clusters = cut(resolve.clusters(keyed, config.dedupe))
     merged = cut(merge.merge(normalized, clusters))
     if deliverability is not None and config.normalization.email_dns_mx_check:
