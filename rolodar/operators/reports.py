@@ -39,6 +39,14 @@ def valid_address(a: Column) -> Column:
     return (clean(a["street"]) != "") & ((clean(a["city"]) != "") | (clean(a["postal_code"]) != ""))
 
 
+def view(flattened: DataFrame) -> DataFrame:
+    """The flattened view as a map of ids: rows without an id are dropped, of a repeated id the last row counts."""
+    others = [c for c in flattened.columns if c != "contact_id"]
+    rows = flattened.where(F.trim("contact_id") != "").withColumn("__at", F.monotonically_increasing_id())
+    last = rows.groupBy("contact_id").agg(F.max_by(F.struct(*others), "__at").alias("v"))
+    return last.select("contact_id", "v.*")
+
+
 def validate(contacts: DataFrame, flattened: DataFrame | None = None, weights: Quality = Quality()) -> DataFrame:
     """contact_id and names with counts, details, presence flags and the quality score."""
     rows = contacts.withColumns({"__e": entries(F.col("emails")), "__p": entries(F.col("phones")), "__a": addresses_of(F.col("addresses_json"))})
@@ -54,7 +62,7 @@ def validate(contacts: DataFrame, flattened: DataFrame | None = None, weights: Q
     })
     flags = [f"{w}_{c}" for c in ("email", "phone", "address") for w in ("home", "work")]
     if flattened is not None:
-        rows = rows.join(flattened.select("contact_id", *flags), "contact_id", "left")
+        rows = rows.join(view(flattened.select("contact_id", *flags)), "contact_id", "left")
         rows = rows.withColumns({f"{f}_present": (clean(F.col(f)) != "").cast("int") for f in flags})
     else:
         rows = rows.withColumns({f"{f}_present": F.lit(0) for f in flags})
@@ -87,7 +95,7 @@ def confidence(contacts: DataFrame, validation: DataFrame, flattened: DataFrame
     rows = contacts.join(v, "contact_id", "left")
     work = F.lit(0)
     if flattened is not None:
-        rows = rows.join(flattened.select("contact_id", "work_email", "work_phone", "work_address"), "contact_id", "left")
+        rows = rows.join(view(flattened.select("contact_id", "work_email", "work_phone", "work_address")), "contact_id", "left")
         work = sum(((clean(F.col(c)) != "").cast("int") for c in ("work_email", "work_phone", "work_address")), F.lit(0))
     n = lambda c: F.coalesce(F.expr(f"try_cast({c} as int)"), F.lit(0))
     filled = lambda c: (clean(F.col(c)) != "").cast("int")
@@ -128,10 +136,19 @@ def confidence_summary(report: DataFrame) -> DataFrame:
     return out.orderBy("ord").select("bucket", n.alias("count"), pct.alias("pct"))
 
 
+def confidence_metrics(report: DataFrame) -> DataFrame:
+    """One row: number of contacts and their mean confidence."""
+    mean = F.coalesce(F.round(F.avg("confidence_score"), 2), F.lit(0.0))
+    return report.agg(F.count("*").alias("total_contacts"), mean.alias("mean_confidence"))
+
+
 def notes_blob(lineage: DataFrame, notes: DataFrame) -> DataFrame:
     """contact_id, notes_blob: the notes (source, source_row_id, note) of a contact's records, in lineage order."""
     rows = lineage.select("contact_id", "source", "source_row_id").join(notes.where(F.trim("note") != ""), ["source", "source_row_id"])
-    ordered = F.array_sort(F.collect_list(F.struct("source", "source_row_id", "note")))
+    # Sources as they are loaded, then the places in their files as numbers.
+    loaded = F.when(F.col("source") == "linkedin", 0).when(F.col("source") == "gmail", 1).when(F.col("source") == "mac_vcf", 2).otherwise(3)
+    place = F.expr("try_cast(regexp_extract(source_row_id, '([0-9]+)$', 1) as bigint)")
+    ordered = F.array_sort(F.collect_list(F.struct(loaded.alias("loaded"), "source", F.regexp_replace("source_row_id", r"[0-9]+$", "").alias("file"), place.alias("place"), "note")))
     return rows.groupBy("contact_id").agg(F.array_join(F.transform(ordered, lambda x: x["note"]), " | ").alias("notes_blob"))
 
 
@@ -183,7 +200,13 @@ def top_referrals(tagged: DataFrame, n: int = 25) -> DataFrame:
     return rank_referrals(tagged.select(*wanted)).limit(n)
 
 
-def rejected_values(merged: DataFrame, column: str) -> DataFrame:
-    """contact_id, value: one row per rejected mailbox or number."""
+def rejected_values(merged: DataFrame, column: str, head: int | None = None) -> DataFrame:
+    """contact_id, value: one row per rejected mailbox or number, in order; the first ``head`` rows if that is given."""
     out = merged.select("contact_id", F.explode(column).alias("value"))
-    return out.withColumn("value", F.trim("value")).where("value <> ''").orderBy("contact_id", "value")
+    out = out.withColumn("value", F.trim("value")).where("value <> ''").orderBy("contact_id", "value")
+    return out if head is None else out.limit(head)
+
+
+def display(df: DataFrame, n: int = 25) -> None:
+    """The first rows on the standard output, as a notebook shows them."""
+    df.show(n, truncate=False)

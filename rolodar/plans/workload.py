@@ -5,6 +5,9 @@ several sources under variants of the given name."""
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +15,9 @@ from rolodar.functions import fixed
 from rolodar.runtime import table
 
 _GROUPS = [[root, *variants] for root, variants in fixed.NICKNAMES.items()]
-# Roots whose variants lead back to them alone.
-_GROUPS = [g for g in _GROUPS if all(fixed.NICKNAME_ROOT[n] == g[0] for n in g[:3]) and len(g) >= 2]
+# Roots whose variants lead back to them alone, and whose spellings vote apart.
+_apart = lambda g: all(SequenceMatcher(None, a, b).ratio() < 0.9 for a, b in combinations(g[:3], 2))
+_GROUPS = [g for g in _GROUPS if all(fixed.NICKNAME_ROOT[n] == g[0] for n in g[:3]) and len(g) >= 2 and _apart(g)]
 N = len(_GROUPS)
 
 

@@ -30,12 +30,15 @@ def session(app: str = "rolodar", cores: str = "*", shuffle_partitions: int = 8)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by the session; only without one (tests) a local folder is made."""
+    """Use the shared folder named by the session; without one, a local master (tests) gets a folder of its own, and any
+    other is refused, as executors do not share a machine's folders."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not folder:
+        if not sc.master.startswith("local["):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder")
         folder = tempfile.mkdtemp(prefix="rolodar-ckpt-")
     sc.setCheckpointDir(folder)
 
