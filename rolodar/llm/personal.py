@@ -199,7 +199,7 @@ def bloom(words: DataFrame, word: str, more: frozenset[str]) -> Bloom:
 
 
 #: How far a pattern of each sort can be believed.
-WEIGHTS = {"left2": 0.9, "left1": 0.45, "right": 0.8, "layout": 0.9}
+WEIGHTS = {"left2": 0.9, "left1": 0.45, "right": 0.8, "layout": 0.8}
 SEED_BELIEF = 0.95
 
 
@@ -209,11 +209,13 @@ def believe(classes: DataFrame, rounds: int) -> DataFrame:
     edges = classes.select("class", "kind", "n", F.explode(sorts).alias("e")).select("class", "kind", "n", "e.*").where("pattern is not null")
     edges = cut(edges)
     first = F.when(F.col("seed"), F.lit(SEED_BELIEF)).otherwise(F.lit(0.0))
-    start = classes.select("class", first.alias("first"), F.col("known").alias("given"), first.alias("belief"), "known")
+    start = classes.select("class", first.alias("first"), F.col("known").alias("given"), first.alias("belief"), first.alias("by_context"), "known", F.col("known").alias("told"))
     now = start
     for _ in range(rounds):
-        told = edges.join(now.where("known").select("class", "belief"), "class")
-        by_kind = told.groupBy("sort", "pattern", "kind").agg(F.sum(F.col("n") * F.col("belief")).alias("hits"), F.sum("n").alias("seen"))
+        # Layouts are scored by what contexts believe, not by what they made be believed themselves.
+        told = edges.join(now.where("known").select("class", "belief", "by_context", "told"), "class").where("sort <> 'layout' or told")
+        belief = F.when(F.col("sort") == "layout", F.col("by_context")).otherwise(F.col("belief"))
+        by_kind = told.groupBy("sort", "pattern", "kind").agg(F.sum(F.col("n") * belief).alias("hits"), F.sum("n").alias("seen"))
         # What is believed to be of another kind speaks against the pattern; layouts belong to one kind anyway.
         every = by_kind.groupBy("sort", "pattern").agg(F.sum("hits").alias("all_hits"))
         scores = by_kind.join(every, ["sort", "pattern"]).withColumn(
@@ -222,11 +224,15 @@ def believe(classes: DataFrame, rounds: int) -> DataFrame:
         reached = edges.join(scores.select("sort", "pattern", "kind", "score"), ["sort", "pattern", "kind"])
         # Only patterns that mostly lead to instances speak for a candidate.
         doubt = F.when(F.col("score") > 0.5, 1 - F.col("score") * F.col("weight")).otherwise(F.lit(1.0))
-        felt = reached.groupBy("class").agg(F.product(doubt).alias("doubt"), F.max(F.col("weight") >= 0.8).alias("felt"))
+        context = F.when(F.col("sort") == "layout", 1.0).otherwise(doubt)
+        # A context that leads to believed and other instances alike tells nothing about a layout.
+        clear = (F.col("weight") >= 0.8) & (F.col("sort") != "layout") & ~F.col("score").between(0.1, 0.5)
+        felt = reached.groupBy("class").agg(F.product(doubt).alias("doubt"), F.product(context).alias("context_doubt"), F.max(F.col("weight") >= 0.8).alias("felt"), F.max(clear).alias("context_felt"))
         now = start.select("class", "first", "given").join(felt, "class", "left")
+        believed = lambda c: 1 - (1 - F.col("first")) * F.coalesce(c, F.lit(1.0))
         now = cut(now.select(
-            "class", "first", "given", (1 - (1 - F.col("first")) * F.coalesce("doubt", F.lit(1.0))).alias("belief"),
-            (F.col("given") | F.coalesce("felt", F.lit(False))).alias("known"),
+            "class", "first", "given", believed("doubt").alias("belief"), believed("context_doubt").alias("by_context"),
+            (F.col("given") | F.coalesce("felt", F.lit(False))).alias("known"), (F.col("given") | F.coalesce("context_felt", F.lit(False))).alias("told"),
         ))
     return now.select("class", "belief")
 
