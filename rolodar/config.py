@@ -56,6 +56,7 @@ class Inputs:
     linkedin_csv: str = ""
     gmail_csv: str = ""
     mac_vcf: str = ""
+    deliverability_csv: str = ""
 
 
 @dataclass(frozen=True)
@@ -67,6 +68,7 @@ class Config:
     quality: Quality = field(default_factory=Quality)
     tagging: Tagging = field(default_factory=Tagging)
     log_level: str = "WARNING"
+    single_files: bool = False
 
 
 def _filled(default: Any, given: dict[str, Any] | None) -> Any:
@@ -104,6 +106,7 @@ def load(path: str | None = None, **overrides: Any) -> Config:
         _filled(base.quality, data.get("quality")),
         _filled(base.tagging, data.get("tagging")),
         str((data.get("logging") or {}).get("level") or base.log_level),
+        bool((data.get("outputs") or {}).get("single_files")),
     )
 
 

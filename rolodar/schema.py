@@ -21,11 +21,27 @@ def empty(kind: str) -> Column:
     return F.array().cast(kind)
 
 
+def _trimmed(items: Column, kind: str) -> Column:
+    """The children with every text trimmed and nulls empty."""
+    fields = [f.split(":")[0] for f in kind[len("array<struct<") : -2].split(",")]
+    return F.transform(items, lambda x: F.struct(*[F.coalesce(F.trim(x[f]), F.lit("")).alias(f) for f in fields]))
+
+
+def to_json(df: DataFrame) -> DataFrame:
+    """One JSON text per record, nulls kept out."""
+    return df.select(F.to_json(F.struct(*df.columns)).alias("record"))
+
+
+def from_json(df: DataFrame, column: str = "record") -> DataFrame:
+    """Contact records of JSON texts; malformed texts are empty records."""
+    return as_contacts(df.select(F.from_json(column, "rec_idx long, " + CONTACT).alias("r")).select("r.*"))
+
+
 def as_contacts(df: DataFrame) -> DataFrame:
     """All contact columns in order: missing ones are added, nulls become empty; other columns are left out."""
     texts = [F.coalesce(F.trim(F.col(t).cast("string")), F.lit("")).alias(t) if t in df.columns else F.lit("").alias(t) for t in TEXTS]
     arrays = [
-        F.coalesce(F.col(c).cast(k), empty(k)).alias(c) if c in df.columns else empty(k).alias(c)
+        F.coalesce(_trimmed(F.col(c).cast(k), k), empty(k)).alias(c) if c in df.columns else empty(k).alias(c)
         for c, k in (("emails", EMAILS), ("phones", PHONES), ("addresses", ADDRESSES))
     ]
     extra = [F.col("rec_idx").cast("long").alias("rec_idx")] if "rec_idx" in df.columns else []

@@ -179,6 +179,67 @@ def test_csv_sources_and_missing_files(spark, tmp_path):
     assert files.read_gmail(spark, str(tmp_path / "none.csv")).count() == 0
     out = pipeline.run(spark, cfg.load(None, inputs__linkedin_csv=str(li), inputs__gmail_csv=str(g), outputs__dir=str(tmp_path / "out")))
     assert files.read_stage_csv(spark, out["consolidated_contacts"]).count() == 3
+    # A stored stage is resumed on its own, with a deliverability table and in one file.
+    dead = tmp_path / "domains.csv"
+    dead.write_text("domain,deliverable\nx.example,false\n")
+    config = cfg.load(None, inputs__linkedin_csv=str(li), inputs__deliverability_csv=str(dead), normalization__email_dns_mx_check=True, outputs__dir=str(tmp_path / "out"), outputs__single_files=True)
+    out = pipeline.run(spark, config)
+    emails = {r["first_name"]: r["emails"] for r in files.read_stage_csv(spark, out["consolidated_contacts"]).collect()}
+    assert emails["Ann"] == "ann@x.example::invalid"
+    for stage, name, rows in (("validate", "coverage_metrics", 1), ("confidence", "confidence_metrics", 1), ("tag", "referral_targets", 2), ("insights", "top_referrals", 2)):
+        assert files.read_stage_csv(spark, pipeline.resume(spark, config, stage)[name]).count() == rows
+
+
+def test_several_files_keep_their_rows_apart(spark, tmp_path):
+    for name, who in (("a", ["Ann", "Bob"]), ("b", ["Cy"])):
+        (tmp_path / f"net_{name}.csv").write_text("Notes:\nx\nFirst Name,Last Name,URL,Email Address,Company,Position,Connected On\n" + "".join(f'{w},"Lee, Jr\n",,,,,\n' for w in who))
+        (tmp_path / f"c_{name}.vcf").write_text("".join(f"BEGIN:VCARD\nFN:{w} Ray\nEND:VCARD\n" for w in who))
+    net = files.read_linkedin(spark, str(tmp_path / "net_*.csv"))
+    cards = files.read_vcards(spark, str(tmp_path / "c_*.vcf"))
+    got = [(r["source_row_id"], r["first_name"]) for r in net.orderBy("rec_idx").collect()]
+    assert got == [("net_a.csv:0", "Ann"), ("net_a.csv:1", "Bob"), ("net_b.csv:0", "Cy")]
+    assert [r["source_row_id"] for r in cards.orderBy("rec_idx").collect()] == ["c_a.vcf:0", "c_a.vcf:1", "c_b.vcf:0"]
+    both = files.union_sources(net, cards)
+    assert [r["source"] for r in both.orderBy("rec_idx").collect()] == ["linkedin"] * 3 + ["mac_vcf"] * 3 and both.select("rec_idx").distinct().count() == 6
+
+
+def test_json_round_trip(spark):
+    rows = records(spark, [{"source": "gmail", "first_name": " Ann ", "emails": [email(" a@x.example ", "work ")]}])
+    from rolodar import schema
+
+    back = schema.from_json(schema.to_json(rows)).first()
+    assert back["first_name"] == "Ann" and back["emails"][0]["value"] == "a@x.example" and back["rec_idx"] == rows.first()["rec_idx"]
+    assert schema.from_json(spark.createDataFrame([("{broken",), (None,)], "record string")).count() == 2
+
+
+def test_flattened_view_drops_blank_ids_and_keeps_the_last(spark):
+    v = spark.createDataFrame([("a", "1"), ("", "2"), (None, "3"), ("a", "4")], "contact_id string, work_email string").coalesce(1)
+    assert [(r[0], r[1]) for r in reports.view(v).collect()] == [("a", "4")]
+
+
+def test_phones_of_another_country(spark):
+    df = spark.createDataFrame([("030 1234567",), ("+1 415 555 2671",), ("49 30 12345678",)], "p string")
+    assert [r[0] for r in df.select(channels.phone_e164(F.col("p"), "DE")).collect()] == ["+49301234567", "+14155552671", "+493012345678"]
+
+
+def test_address_lines():
+    a = files.arrange_address({"street": "12 Elm Road\nSuite 5\nBoston, MA 02110\nUnited States", "city": "", "state": "", "postal_code": "", "country": ""})
+    assert (a["street"], a["city"], a["state"], a["postal_code"], a["country"]) == ("12 Elm Road, Suite 5", "Boston", "MA", "02110", "United States")
+    assert files.arrange_address({"street": "1 Main St", "city": "X"}) == {"street": "1 Main St", "city": "X"}
+
+
+def test_name_pieces_follow_the_rules():
+    from rolodar.functions.names import Grammar, split_name
+    from rolodar.functions import fixed
+
+    g = Grammar(fixed.GENERATIONAL, fixed.PROFESSIONAL, fixed.PREFIXES)
+    # Hyphens part names, a title behind a comma stays a title, only the first bracket counts.
+    n = g.parse("Mary-Jane Smith-Jones")
+    assert (n["first"], n["middle"], n["last"]) == ("Mary", "Jane Smith", "Jones")
+    assert (g.parse("Jane Doe, MS")["prefix"], g.parse("Jane Doe, MS")["professional"]) == ("MS", [])
+    assert g.parse("Ann (Lee) Ray (Poe)")["maiden"] == "Lee"
+    assert g.parse("Ann Ray PhD/foo")["professional"] == [] and g.parse("Ann Ray PhD/MBA")["professional"] == ["PhD", "MBA"]
+    assert split_name("Ann de la Cruz") == ("Ann", "", "de la Cruz") and split_name("Ann L. Cruz") == ("Ann", "L.", "Cruz")
 
 
 def test_config_zero_overrides(tmp_path):

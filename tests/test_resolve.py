@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from rolodar import config as cfg
 from rolodar.functions.names import split_name
 from rolodar.functions.text import py_text_key
@@ -68,6 +70,18 @@ def test_incremental_resolution(spark, tmp_path):
     q.stop()
     # The second batch touches one block, whose two records are now one contact.
     assert seen == [(0, 2), (1, 1)]
+    # Only the files of the touched block are opened.
+    store = spark.read.parquet(str(tmp_path / "store"))
+    blocks = store.where("last_name = 'Doe'").select("block_key", "bucket").distinct()
+    opened = incremental.touched(store, blocks)
+    assert opened.count() == 2 and len(opened.inputFiles()) == 3
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "bucket")
+    q = incremental.start(spark.readStream.schema(old.schema).parquet(src), str(tmp_path / "store2"), str(tmp_path / "ck2"), lambda r, i: None)
+    q.processAllAvailable()
+    old.coalesce(1).write.mode("append").parquet(src)
+    with pytest.raises(Exception, match="more than one batch"):
+        q.processAllAvailable()
 
 
 def test_entry_lists_queries_and_sql():
