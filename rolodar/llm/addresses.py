@@ -5,8 +5,9 @@
 2. Blocks: a missing city is the city of its postal code, so codes and neighbouring codes of one city form one locality;
    city names with a slip take over their well-established neighbour. A block is a locality with house and box number,
    direction and unit - the hard vetoes, none of which is ever compared.
-3. Deletion-neighbourhood index inside the blocks that hold several streets: spellings that share a string with up to
-   two letters deleted are met, be it of the words as they stand or in order of the alphabet.
+3. Deletion-neighbourhood index inside the blocks that hold several streets: spellings at most two slips apart share a
+   string with letters deleted (of their ends, if they are long), be it of the words as they stand or in order of the
+   alphabet.
 4. Optimal component assignment decides such pairs: the least total distance over all assignments of one street's words
    to the other's. Two names that are both too frequent in the corpus for slips of each other stay two streets.
    Connected components of the accepted pairs are the streets of a block; a missing street type is its only one.
@@ -63,6 +64,16 @@ def deletions(text: Column) -> Column:
     return F.when(F.length(text) >= 4, F.array_distinct(F.array_append(cut_out, text))).otherwise(F.array(text))
 
 
+def neighbourhood(text: Column) -> Column:
+    """Hashes that two texts at most two letters apart share. Long texts post the deletions of their first and of their
+    last four letters, one of which holds at most one of the two slips; short ones their own with two letters deleted."""
+    tagged = lambda tag, part: F.transform(deletions(part), lambda d: F.xxhash64(F.lit(tag), d))
+    ends = F.concat(tagged("begins", F.left(text, F.lit(4))), tagged("ends", F.right(text, F.lit(4))))
+    twice = F.transform(F.array_distinct(F.flatten(F.transform(deletions(text), deletions))), lambda d: F.xxhash64(F.lit("whole"), d))
+    none = F.array().cast("array<bigint>")
+    return F.concat(F.when(F.length(text) >= 8, ends).otherwise(none), F.when(F.length(text) <= 9, twice).otherwise(none))
+
+
 def established(spellings: DataFrame, value: str, block: list[str] | None = None, ratio: int = 5) -> DataFrame:
     """[block,] value, canon: the established neighbour that a rare spelling takes over, where there is exactly one
     best. ``spellings`` holds each value (per block) once, with its number ``n``."""
@@ -95,8 +106,7 @@ def streets(in_block: DataFrame, corpus: DataFrame) -> DataFrame:
     crowded = in_block.groupBy("place").agg(F.count("*").alias("k")).where("k > 1").select("place")
     rows = cut(in_block.where("line <> ''").join(crowded, "place").join(corpus, "line"))
     ordered = F.array_join(F.array_sort(F.split("words", " ")), "")
-    once = F.flatten(F.transform(F.array_distinct(F.array("line", ordered)), deletions))
-    keys = F.array_distinct(F.transform(F.flatten(F.transform(once, deletions)), lambda d: F.xxhash64(d)))
+    keys = F.array_distinct(F.flatten(F.transform(F.array_distinct(F.array("line", ordered)), neighbourhood)))
     posted = rows.select("place", "street", F.explode(keys).alias("d"))
     left, right = posted.select("place", "d", F.col("street").alias("s1")), posted.select("place", "d", F.col("street").alias("s2"))
     met = left.join(right, ["place", "d"]).where("s1 < s2").select("s1", "s2").distinct()
