@@ -78,6 +78,19 @@ for _c, _ws in LEXICON.items():
         _SHAPES.setdefault((_w[0], _w[-1], len(_w)), squeeze(_w))
 
 
+class _Unmasked(dict):
+    """Spellings of tokens, found once (for so many tokens at a time)."""
+
+    def __missing__(self, token: str) -> str:
+        if len(self) > 200_000:
+            self.clear()
+        self[token] = found = unmask(token)
+        return found
+
+
+_UNMASKED = _Unmasked()
+
+
 def unmask(token: str) -> str:
     """One spelling of a plain token."""
     if "*" in token:
@@ -97,7 +110,7 @@ def passages(text: str) -> list[list[str]]:
     t = _SPACED.sub(lambda m: re.sub(r"[ .\-]", "", m.group()), t)
     out = []
     for m in _PASSAGE.finditer(t):
-        ws = [unmask(w) for w in _TOKEN.findall(m.group())]
+        ws = [_UNMASKED[w] for w in _TOKEN.findall(m.group())]
         if ws:
             out.append(ws)
     return out
