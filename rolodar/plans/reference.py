@@ -261,7 +261,7 @@ def name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_name_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = table(spark, sf_dir, "contact_records").where("first_name <> '' and nickname <> ''")
+    r = table(spark, sf_dir, "contact_records")
     return r.select("rec_id", text.seq_ratio("first_name", "nickname").alias("similarity"))
 
 
@@ -312,7 +312,7 @@ _MERGED = f"""{_CLUSTERS}, m AS (SELECT n.*, cl.cluster_id, {_STATE} AS st, CASE
     UNION ALL SELECT cluster_id, root, 1.5, false, rec_idx * 2 + 1 FROM m WHERE elab = 'work'),
   bf AS (SELECT cluster_id, arg_max(upper(key[1:1]) || key[2:], (wt, -o)) AS best_first FROM (SELECT cluster_id, key, sum(wt) AS wt, bool_or(ex) AS ex, min(o) AS o FROM vo GROUP BY 1, 2) WHERE ex GROUP BY 1)"""
 _BEST = "coalesce(arg_max({c}, ({{r}})) FILTER (WHERE {c} <> ''), '') AS {c}"
-_RANK = "CASE WHEN source_timestamp <> '' THEN source_timestamp ELSE '' END || CASE source WHEN 'linkedin' THEN '3' WHEN 'mac_vcf' THEN '2' ELSE '1' END || lpad(CAST(9999999999 - n.rec_idx AS VARCHAR), 10, '0')"
+_RANK = "CASE WHEN source_timestamp <> '' THEN concat('1', source_timestamp) ELSE '0' END || CASE source WHEN 'linkedin' THEN '3' WHEN 'mac_vcf' THEN '2' ELSE '1' END || lpad(CAST(9999999999 - n.rec_idx AS VARCHAR), 10, '0')"
 # A contact of the merged table; the id is a version-5 UUID over its texts.
 _CONTACT = f"""{_MERGED}, sv AS (SELECT cluster_id, {', '.join(_BEST.format(c=c).replace('{r}', _RANK.replace("n.rec_idx", "rec_idx")) for c in ('last_name', 'company', 'title', 'linkedin_url'))},
     CAST(count(*) AS INTEGER) AS source_row_count, CAST(count(DISTINCT source) AS INTEGER) AS source_count FROM m GROUP BY cluster_id),
@@ -374,6 +374,7 @@ SQL: dict[str, str] = {
     "lineage": f"WITH RECURSIVE {_CONTACT} SELECT contact_id, source, CAST(k AS VARCHAR) AS source_row_id, concat_ws(' ', js.first_name, js.last_name) AS source_full_name, js.company AS source_company, js.title AS source_title, CASE WHEN em = '' THEN '' ELSE em || '::' || elab END AS source_emails, CASE WHEN ph = '' THEN '' ELSE ph || '::' || plab END AS source_phones, '[' || j || ']' AS source_addresses_json, email AS source_emails_raw, phone AS source_phones_raw, concat('[{{\"po_box\":\"\",\"extended\":\"\",\"street\":\"', street, '\",\"city\":\"', city, '\",\"state\":\"', state, '\",\"postal_code\":\"', postal_code, '\",\"country\":\"us\",\"label\":\"home\"}}]') AS source_addresses_raw_json FROM js JOIN co ON js.cluster_id = co.cluster_id",
     "flattened_contacts": f"WITH RECURSIVE {_CONTACT} SELECT contact_id, full_name, company, '' AS department, title, linkedin_url, '' AS home_email, home_phone, home_address, work_email, '' AS work_phone, '' AS work_address, '' AS other_email, '' AS other_phone, '' AS other_address FROM co",
     "pair_signals": f"WITH {_EV} SELECT l.rec_idx AS a, r.rec_idx AS b, l.em <> '' AND l.em = r.em AS email_overlap, l.ph <> '' AND l.ph = r.ph AS phone_overlap, l.ad <> '' AND l.ad = r.ad AS addr_overlap, l.linkedin_url <> '' AND l.linkedin_url = r.linkedin_url AS same_profile, l.fk = r.fk AS same_name, l.root = r.root AS nick_equal, CAST(l.em <> '' AND l.em = r.em AS INTEGER) + CAST(l.ph <> '' AND l.ph = r.ph AS INTEGER) + CAST(l.ad <> '' AND l.ad = r.ad AS INTEGER) + CAST(l.linkedin_url <> '' AND l.linkedin_url = r.linkedin_url AS INTEGER) AS corroborators FROM n l JOIN n r ON l.bk = r.bk AND l.rec_idx < r.rec_idx WHERE {_SHARE}",
+    "text_keys": r"SELECT rec_id, lower(strip_accents(trim(regexp_replace(coalesce(company, ''), '\s+', ' ', 'g')))) AS company_key FROM contact_records",
     "label_fold": """WITH i AS (SELECT o_custkey AS owner, o_orderpriority AS value, o_orderkey AS k, {'label': ['', 'other', 'work', 'home'][o_orderkey % 4 + 1], 'ts': o_orderkey % 5, 'prio': o_orderkey % 3} AS s FROM orders),
         l AS (SELECT owner, value, list(s ORDER BY k) AS xs FROM i GROUP BY 1, 2)
         SELECT owner, value, list_reduce(xs, lambda x, y: CASE WHEN (y.ts > x.ts OR (y.ts = x.ts AND y.prio > x.prio)) OR (y.prio = x.prio AND x.label = '' AND y.label <> '')
